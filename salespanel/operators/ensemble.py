@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import parameter_table
+from .evaluation import TOP_N, combined_score, inverse_weights, metrics, roll_up, top_models
+from .panel import by_segment
+from .recurrence import folds, linear_forecast
 
 ENSEMBLE = "voting_ensemble"
 
@@ -65,11 +68,36 @@ def intervals(
     """``segment, timestamp, target, target_<q>...``: bound(q) = yhat + z(q) * sigma.
     A segment without residuals has NULL bounds."""
     joined = forecast.join(residual_spread(bt), "segment", "left")
-    bounds = [
+    return joined.select(
+        "segment", "timestamp", F.col("yhat").alias("target"), *_bounds(quantiles)
+    )
+
+
+def _bounds(quantiles: Sequence[float]):
+    return [
         (F.col("yhat") + F.lit(NormalDist().inv_cdf(q)) * F.col("sigma")).alias(quantile_column(q))
         for q in quantiles
     ]
-    return joined.select("segment", "timestamp", F.col("yhat").alias("target"), *bounds)
+
+
+def recurrence_ensemble(
+    panel: DataFrame, specs: Sequence, horizon: int, n_folds: int = 3, top_n: int = TOP_N,
+    quantiles: Sequence[float] = ENSEMBLE_QUANTILES,
+) -> DataFrame:
+    """Score all recurrence specs, vote the best and bound the vote, as one lazy query.
+
+    Test months and the months ahead come out of the same pass over the panel, and the
+    residual spread is a window over a segment's (n_folds + 1) * horizon voted rows, so
+    nothing is shuffled by segment again. Columns as from :func:`intervals`.
+    """
+    ends = [*folds(n_folds, horizon), (n_folds, 0, 0)]
+    points = linear_forecast(panel, specs, horizon, ends)
+    scores = combined_score(roll_up(metrics(points)))
+    voted = vote(points, inverse_weights(top_models(scores, top_n)))
+    sigma = F.stddev_pop(F.col("actual") - F.col("yhat")).over(by_segment())
+    return voted.withColumn("sigma", sigma).filter(F.col("fold") == n_folds).select(
+        "segment", "timestamp", F.col("yhat").alias("target"), *_bounds(quantiles)
+    )
 
 
 def as_forecast(

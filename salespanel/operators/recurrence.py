@@ -55,12 +55,15 @@ def folds(
     return [(k, (n - k) * horizon, k * horizon if mode == "constant" else 0) for k in range(n)]
 
 
-COLUMNS = ("model", "candidate_no", "fold", "h", "position", "weight", "n_terms")
+COLUMNS = (
+    "model", "candidate_no", "fold", "h", "position", "weight", "n_terms", "months_on",
+)
 
 
-def _roles(specs, numbers, horizon, ends, anchor) -> list[tuple]:
+def _roles(specs, numbers, horizon, ends) -> list[tuple]:
     """Every (model, fold, step) with the panel positions it reads, plus one weightless
-    row for the position ``anchor(train_end, h)`` that dates the forecast."""
+    row for its anchor. For a test month the anchor is that month. For a month after the
+    panel it is the last month, ``months_on`` months before."""
     coefficients = linear_coefficients(specs, horizon)
     rows = []
     for fold, train_end, _ in ends:
@@ -68,9 +71,10 @@ def _roles(specs, numbers, horizon, ends, anchor) -> list[tuple]:
             mine = [c for c in coefficients if c[0] == spec.name]
             for h in range(1, horizon + 1):
                 terms = [(back, weight) for _, step, back, weight in mine if step == h]
+                on = h if train_end == 0 else 0
                 head = (spec.name, number, fold, h)
-                rows += [(*head, train_end + back, w, len(terms)) for back, w in terms]
-                rows.append((*head, anchor(train_end, h), None, len(terms)))
+                rows += [(*head, train_end + back, w, len(terms), on) for back, w in terms]
+                rows.append((*head, train_end - h + on, None, len(terms), on))
     return rows
 
 
@@ -94,18 +98,15 @@ def linear_forecast(
 
     With ``ends=None`` these are the months after the panel. With ``ends`` from
     :func:`folds` each fold's test months are forecast and ``actual`` holds what was
-    observed. A forecast is NULL when a value it needs is missing.
+    observed. An end ``(fold, 0, start)`` adds the months after the panel to the folds.
+    A forecast is NULL when a value it needs is missing.
 
     Columns: ``model, candidate_no, fold, segment, h, timestamp, actual, yhat``.
     """
-    ahead = ends is None
-    ends = [(0, 0, 0)] if ahead else ends
+    ends = [(0, 0, 0)] if ends is None else ends
     numbers = list(range(len(specs))) if numbers is None else numbers
     per_fold = any(start > 0 for _, _, start in ends)
-    anchor = (lambda end, h: 0) if ahead else (lambda end, h: end - h)
-    roles = parameter_table(
-        panel.sparkSession, _roles(specs, numbers, horizon, ends, anchor), COLUMNS
-    )
+    roles = parameter_table(panel.sparkSession, _roles(specs, numbers, horizon, ends), COLUMNS)
     data = _prepared_per_fold(panel, ends) if per_fold else _prepared(panel)
     match = data["from_end"] == roles["position"]
     if per_fold:
@@ -113,7 +114,7 @@ def linear_forecast(
     is_term = F.col("weight").isNotNull()
     observed = F.when(is_term & F.col("y").isNotNull(), F.col("weight") * F.col("y"))
     grouped = data.join(roles, match).groupBy(
-        "segment", "model", "candidate_no", "fold", "h", "n_terms"
+        "segment", "model", "candidate_no", "fold", "h", "n_terms", "months_on"
     ).agg(
         F.sum(observed).alias("total"),
         F.count(observed).alias("found"),
@@ -122,11 +123,9 @@ def linear_forecast(
     )
     # An anchor outside the panel leaves a group without a date: not a real test month.
     dated = grouped.filter(F.col("anchor_month").isNotNull())
-    month = F.col("anchor_month") + (F.col("h") if ahead else 0)
-    actual = F.lit(None).cast("double") if ahead else F.col("anchor_target")
     return dated.select(
         "model", "candidate_no", "fold", "segment", "h",
-        month_start(month).alias("timestamp"),
-        actual.alias("actual"),
+        month_start(F.col("anchor_month") + F.col("months_on")).alias("timestamp"),
+        F.when(F.col("months_on") == 0, F.col("anchor_target")).alias("actual"),
         F.when(F.col("found") == F.col("n_terms"), unlog("total")).alias("yhat"),
     )

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import month_label, process_number, split_segment_last
+from ..params import cut_lineage
 from .summary import MEASURES
 
 # The report's column names.
@@ -31,7 +32,7 @@ TOTAL_COLUMNS = {
 }
 TRAILING_DAYS = 123
 SUFFIXES = ("mean", "lower", "upper")
-HAS_FORECAST = "_forecast_points"
+HAS_FORECAST, HAS_MONTH = "_has_forecast", "_has_month"
 
 
 def trailing_days(df: DataFrame, ts: str = "timestamp", days: int = TRAILING_DAYS) -> DataFrame:
@@ -110,8 +111,11 @@ def combined_report(
     Columns: keys, history months, forecast months, then the trailing total and three
     forecast totals. With ``forecast_totals='per_segment'`` the forecast totals are those
     of single segments, so an article of k segments has k rows; ``'per_key'`` sums them
-    to one row per key. ``months`` gives (history months, forecast months) to save the
-    two small look-ups.
+    to one row per key.
+
+    Which months there are is read from the summed cells, so these are stored first and
+    the history is summed once. With ``months``, as (history months, forecast months),
+    nothing runs before the result is used.
     """
     if grain not in TOTAL_COLUMNS:
         raise ValueError(f"grain must be 'department' or 'article', not {grain!r}")
@@ -119,10 +123,8 @@ def combined_report(
         raise ValueError(
             f"forecast_totals must be 'per_segment' or 'per_key', not {forecast_totals!r}"
         )
-    hist_months, fc_months = months or (month_list(hist), month_list(fc))
     keys = [DEPARTMENT, ARTICLE] if grain == "department" else [ARTICLE]
     trailing, *totals = TOTAL_COLUMNS[grain]
-    forecast_labels = [f"{m}-forecast_{s}" for m in fc_months for s in SUFFIXES]
 
     # A sale counts under its month, and under the trailing total if it is recent.
     recent = F.when(F.col("timestamp") >= _cutoff(hist, "timestamp", days), F.lit(trailing))
@@ -142,44 +144,54 @@ def combined_report(
         F.struct(F.lit(t).alias("label"), F.col(c).alias("value"))
         for t, c in zip(totals, MEASURES)
     ]
-    mark = F.struct(F.lit(HAS_FORECAST).alias("label"), F.lit(1.0).alias("value"))
-    extra = per_key if forecast_totals == "per_key" else [mark]
-    points = keyed_fc.select(*keys, F.inline(F.array(*measures, *extra)))
+    # A segment without points still counts as one forecast of its article, with value 0.
+    is_point = F.col("timestamp").isNotNull().cast("double")
+    mark = F.struct(F.lit(HAS_FORECAST).alias("label"), is_point.alias("value"))
+    points = keyed_fc.select(*keys, F.inline(F.array(*measures, *per_key, mark)))
 
     long = sales.unionByName(points).filter(F.col("label").isNotNull())
     for k in keys:
         long = long.filter(F.col(k).isNotNull())
-    tail = totals if forecast_totals == "per_key" else [HAS_FORECAST]
-    labels = [*hist_months, *forecast_labels, trailing, *tail]
-    wide = long.groupBy(*keys).pivot("label", labels).agg(F.sum("value"))
-
-    if forecast_totals == "per_key":
-        joined = wide
+    cells = long.groupBy(*keys, "label").agg(process_number(F.sum("value")).alias("value"))
+    not_months = (trailing, *totals, HAS_FORECAST)
+    if months is None:
+        cells = cut_lineage(cells, "report-cells")
+        found = [r.label for r in cells.select("label").distinct().collect()]
+        month_columns = [c for c in found if c not in not_months]
     else:
-        joined = _per_segment_totals(wide, keyed_fc, keys, totals)
-    ordered_columns = order_report_columns(
-        [*hist_months, *forecast_labels], keys, [trailing, *totals]
-    )
-    out = joined.select(
-        *[F.col(f"`{c}`") if c in keys else process_number(F.col(f"`{c}`")).alias(c)
-          for c in ordered_columns]
-    )
+        month_columns = [
+            *months[0], *[f"{m}-forecast_{s}" for m in months[1] for s in SUFFIXES]
+        ]
+
+    # Only keys with a value in some month get a row. One marker column says so: a
+    # condition over all month columns would make the planner rewrite it per column.
+    is_month = ~F.col("label").isin(*not_months)
+    marked = cells.select(
+        *keys, F.explode(F.array("label", F.when(is_month, F.lit(HAS_MONTH)))).alias("label"),
+        "value",
+    ).filter(F.col("label").isNotNull())
+    labels = [*month_columns, *not_months, HAS_MONTH]
+    wide = marked.groupBy(*keys).pivot("label", labels).agg(F.sum("value"))
+    wide = wide.filter(F.col(HAS_MONTH).isNotNull()).drop(HAS_MONTH)
+    if forecast_totals == "per_segment":
+        wide = _per_segment_totals(wide, keyed_fc, keys, totals)
+    columns = order_report_columns(month_columns, keys, [trailing, *totals])
+    out = wide.select(*[F.col(f"`{c}`") for c in columns]).fillna(0)
     return out.orderBy(*keys) if ordered else out
 
 
 def _per_segment_totals(wide, keyed_fc, keys, totals):
-    """Left join of per-segment totals on the report keys, as an inner join for keys that
-    have a forecast and a plain projection for those that have none. Spark can split a
-    hot key on either side of an inner join; on the right of a left join it can not."""
+    """The totals of single segments in place of those of the key: a left join on the
+    report keys, as an inner join for keys that have a forecast and the rows as they are
+    for those that have none. Spark can split a hot key on either side of an inner join;
+    on the right of a left join it can not."""
     sums = keyed_fc.groupBy("segment", *keys).agg(
-        *[F.sum(c).alias(t) for c, t in zip(MEASURES, totals)]
+        *[process_number(F.sum(c)).alias(t) for c, t in zip(MEASURES, totals)]
     )
-    with_forecast = wide.filter(F.col(HAS_FORECAST).isNotNull()).join(
+    with_forecast = wide.filter(F.col(HAS_FORECAST).isNotNull()).drop(*totals).join(
         sums.drop("segment"), keys, "inner"
     )
-    without = wide.filter(F.col(HAS_FORECAST).isNull()).withColumns(
-        {t: F.lit(None).cast("double") for t in totals}
-    )
+    without = wide.filter(F.col(HAS_FORECAST).isNull())
     return with_forecast.unionByName(without)
 
 

@@ -48,13 +48,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss and stops repeated recomputation."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
-
-
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder name under the checkpoint folder, for job-private tables."""
     return os.path.join(checkpoint_root(spark), f"{name}-{os.urandom(6).hex()}")
 
+
+def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
+    """The result as a table in the checkpoint folder: computed once, safe from executor
+    loss, and of a size Spark knows when it plans what reads it."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

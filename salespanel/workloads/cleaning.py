@@ -297,9 +297,9 @@ def fill_from_other(spark, sf_dir):
     return fill_from(fill_from(rows, "department", "UNKNOWN"), "article", F.col("segment"))
 
 
-@query("""SELECT p_brand AS article, sum(CASE WHEN p_type = 'PROMO' THEN p_size ELSE 0 END)
+@query("""SELECT p_brand AS article, CAST(sum(CASE WHEN p_type = 'PROMO' THEN p_size ELSE 0 END) AS BIGINT)
          AS "PROMO-forecast_mean",
-       sum(CASE WHEN p_type = 'LARGE' THEN p_size ELSE 0 END) AS "LARGE-forecast_mean"
+       CAST(sum(CASE WHEN p_type = 'LARGE' THEN p_size ELSE 0 END) AS BIGINT) AS "LARGE-forecast_mean"
 FROM part GROUP BY p_brand""")
 def suffix_renamed(spark, sf_dir):
     sizes = (

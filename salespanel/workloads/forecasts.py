@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clip0_fill, clip0_keep
 from ..operators.ensemble import (
-    intervals,
+    recurrence_ensemble,
     vote,
     vote_backtest,
     weight_table,
@@ -201,12 +201,7 @@ SELECT segment, ts AS "timestamp", round(target, 4) + 0.0 AS target,
        round(lower_bound, 4) + 0.0 AS "target_0.025",
        round(upper_bound, 4) + 0.0 AS "target_0.975" FROM bounded""")
 def prediction_intervals(spark, sf_dir):
-    panel = sales_panel(spark, sf_dir)
-    bt = _backtest(spark, sf_dir)
-    weights = inverse_weights(top_models(_scored(spark, sf_dir)))
-    bounded = intervals(
-        vote(forecast(panel, CLASSICAL, HORIZON), weights), vote_backtest(bt, weights)
-    )
+    bounded = recurrence_ensemble(sales_panel(spark, sf_dir), CLASSICAL, HORIZON)
     return bounded.select(
         "segment", "timestamp",
         *[F.round(f"`{c}`", 4).alias(c) for c in bounded.columns[2:]],
@@ -219,12 +214,7 @@ SELECT segment, ts AS "timestamp", round(greatest(target, 0), 4) + 0.0 AS target
        CASE WHEN upper_bound IS NOT NULL THEN round(greatest(upper_bound, 0), 4) + 0.0 END AS target_upper
 FROM bounded""")
 def clipped_forecast(spark, sf_dir):
-    panel = sales_panel(spark, sf_dir)
-    bt = _backtest(spark, sf_dir)
-    weights = inverse_weights(top_models(_scored(spark, sf_dir)))
-    bounded = intervals(
-        vote(forecast(panel, CLASSICAL, HORIZON), weights), vote_backtest(bt, weights)
-    )
+    bounded = recurrence_ensemble(sales_panel(spark, sf_dir), CLASSICAL, HORIZON)
     return bounded.select(
         "segment", "timestamp", F.round(clip0_fill("target"), 4).alias("target"),
         F.round(clip0_keep("`target_0.025`"), 4).alias("target_lower"),

@@ -80,20 +80,21 @@ def holiday_flag(spark, sf_dir):
 
 
 @query(f"""WITH {PANEL}
-SELECT segment, t_idx, month(ts) AS flag_month_number_in_year,
-       (month(ts) % 12) // 3 + 1 AS flag_season_number, year(ts) AS flag_year_number
+SELECT segment, t_idx, month(ts)::INTEGER AS flag_month_number_in_year,
+       ((month(ts) % 12) // 3 + 1)::INTEGER AS flag_season_number,
+       year(ts)::INTEGER AS flag_year_number
 FROM panel""")
 def date_flags(spark, sf_dir):
     flagged = add_date_flags(sales_panel(spark, sf_dir))
     return flagged.drop("from_end", "timestamp", "target")
 
 
-@query("""SELECT o_orderkey, isodow(o_orderdate) - 1 AS flag_day_number_in_week,
-       day(o_orderdate) AS flag_day_number_in_month,
-       dayofyear(o_orderdate) AS flag_day_number_in_year,
-       (day(o_orderdate) - 1 + isodow(date_trunc('month', o_orderdate)) - 1) // 7 + 1
+@query("""SELECT o_orderkey, (isodow(o_orderdate) - 1)::INTEGER AS flag_day_number_in_week,
+       day(o_orderdate)::INTEGER AS flag_day_number_in_month,
+       dayofyear(o_orderdate)::INTEGER AS flag_day_number_in_year,
+       ((day(o_orderdate) - 1 + isodow(date_trunc('month', o_orderdate)) - 1) // 7 + 1)::INTEGER
          AS flag_week_number_in_month,
-       weekofyear(o_orderdate) AS flag_week_number_in_year,
+       weekofyear(o_orderdate)::INTEGER AS flag_week_number_in_year,
        CASE WHEN isodow(o_orderdate) >= 6 THEN 1 ELSE 0 END AS flag_is_weekend
 FROM orders""")
 def daily_date_flags(spark, sf_dir):

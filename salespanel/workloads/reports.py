@@ -25,6 +25,7 @@ from ..operators.summary import (
     segment_series,
     segment_sums,
 )
+from ..params import cut_lineage
 from .registry import Registry
 from .tables import LINES, SIMPLE_FORECAST, sales_lines, simple_forecast, table
 
@@ -74,15 +75,15 @@ def monthly_by_article(spark, sf_dir):
 
 @query(f"""WITH {SIMPLE_FORECAST}
 SELECT string_split(segment, '|')[-1] AS article, strftime(ts, '%Y-%m') AS month,
-       round(coalesce(sum(target), 0), 4) AS target,
-       round(coalesce(sum(target_lower), 0), 4) AS target_lower,
-       round(coalesce(sum(target_upper), 0), 4) AS target_upper
+       round(coalesce(sum(target), 0), 6) AS target,
+       round(coalesce(sum(target_lower), 0), 6) AS target_lower,
+       round(coalesce(sum(target_upper), 0), 6) AS target_upper
 FROM fc GROUP BY ALL""")
 def monthly_forecast_measures(spark, sf_dir):
     measures = ["target", "target_lower", "target_upper"]
     fc = simple_forecast(spark, sf_dir).withColumn("article", F.substring_index("segment", "|", -1))
     sums = monthly_sum(fc, ["article"], measures)
-    return sums.withColumns({m: F.round(m, 4) for m in measures})
+    return sums.withColumns({m: F.round(m, 6) for m in measures})
 
 
 @query(f"""WITH {LINES}
@@ -112,11 +113,11 @@ def forecast_by_department_article(spark, sf_dir):
 
 
 @query(f"""WITH {QUANTILE_FC}
-SELECT round(sum(lo), 4) AS "sum_target_0.025", round(sum(hi), 4) AS "sum_target_0.975"
+SELECT round(sum(lo), 6) AS "sum_target_0.025", round(sum(hi), 6) AS "sum_target_0.975"
 FROM qfc""")
 def forecast_quantile_totals(spark, sf_dir):
     totals = quantile_totals(_quantile_forecast(spark, sf_dir))
-    return totals.select(*[F.round(f"`{c}`", 4).alias(c) for c in totals.columns])
+    return totals.select(*[F.round(f"`{c}`", 6).alias(c) for c in totals.columns])
 
 
 @query(f"""WITH {SIMPLE_FORECAST}
@@ -216,9 +217,10 @@ report AS (
 
 
 def _report(spark, sf_dir, grain, forecast_totals="per_segment"):
+    # The forecast is read three times; a report starts from a stored one.
+    fc = cut_lineage(simple_forecast(spark, sf_dir))
     return combined_report(
-        _history(spark, sf_dir), simple_forecast(spark, sf_dir), grain,
-        forecast_totals=forecast_totals,
+        _history(spark, sf_dir), fc, grain, forecast_totals=forecast_totals
     )
 
 

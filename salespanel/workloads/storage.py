@@ -108,7 +108,7 @@ def legacy_read(spark, sf_dir):
 
 
 PANEL_ROWS = f"""WITH {LINES}
-SELECT segment, ts AS "timestamp", target, year(ts) AS year FROM lines"""
+SELECT segment, ts AS "timestamp", target, CAST(year(ts) AS INTEGER) AS year FROM lines"""
 
 
 @query(PANEL_ROWS)
@@ -127,8 +127,8 @@ def panel_csv(spark, sf_dir):
 
 
 FORECAST_ROWS = f"""WITH {SIMPLE_FORECAST}
-SELECT segment, ts AS "timestamp", round(target, 4) AS target,
-       round(target_lower, 4) AS target_lower, round(target_upper, 4) AS target_upper FROM fc"""
+SELECT segment, ts AS "timestamp", round(target, 6) AS target,
+       round(target_lower, 6) AS target_lower, round(target_upper, 6) AS target_upper FROM fc"""
 
 
 def _forecast_layout(spark, sf_dir, layout):
@@ -136,7 +136,7 @@ def _forecast_layout(spark, sf_dir, layout):
     write_forecast(simple_forecast(spark, sf_dir), path, layout)
     back = read_forecast(spark, path, layout)
     return back.withColumns(
-        {c: F.round(c, 4) for c in ("target", "target_lower", "target_upper")}
+        {c: F.round(c, 6) for c in ("target", "target_lower", "target_upper")}
     )
 
 
@@ -196,7 +196,10 @@ def streamed_months(spark, sf_dir):
     path = work_dir(spark, "stream")
     lineitem = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part")
-    stream = spark.readStream.schema(lineitem.schema).parquet(f"{sf_dir}/lineitem.parquet")
+    stream = (
+        spark.readStream.schema(lineitem.schema).option("pathGlobFilter", "lineitem.parquet")
+        .parquet(sf_dir)
+    )
     rows = stream.join(part, stream.l_partkey == part.p_partkey).select(
         F.concat("p_type", F.lit("|"), "p_brand").alias("segment"),
         F.col("l_shipdate").alias("timestamp"), F.col("l_quantity").alias("target"),
