@@ -48,17 +48,26 @@ def _leaves(schema: T.StructType, path: tuple[str, ...] = ()):
             yield here, field.dataType
 
 
-def _variant_path(path: tuple[str, ...]) -> str:
-    # Square-bracket steps take any key text; a quote inside is back-slashed.
-    return "$" + "".join('["' + p.replace("\\", "\\\\").replace('"', '\\"') + '"]' for p in path)
+def _step(key: str) -> str | None:
+    """A path step in whichever quotes the key does not contain; NULL if in neither."""
+    for quote in ('"', "'"):
+        if quote not in key:
+            return f"[{quote}{key}{quote}]"
+    return None
 
 
 def _leaf(col: Column, path: tuple[str, ...], kind: T.DataType) -> Column:
+    steps = [_step(key) for key in path]
+    if None in steps:  # a key with both kinds of quotes: go down by map look-ups
+        for key in path:
+            col = F.try_element_at(col.try_cast("map<string,variant>"), F.lit(key))
+        steps = []
+    where = "$" + "".join(steps)
     if isinstance(kind, (T.ArrayType, T.StructType)):
-        return F.to_json(F.try_variant_get(col, _variant_path(path), "variant"))
+        return F.to_json(F.try_variant_get(col, where, "variant"))
     if isinstance(kind, T.DecimalType):
         kind = T.DoubleType()
-    return F.try_variant_get(col, _variant_path(path), kind.simpleString())
+    return F.try_variant_get(col, where, kind.simpleString())
 
 
 def flatten_props(
