@@ -12,9 +12,6 @@ from pyspark.sql import types as T
 from ..functions import clip0_fill, parse_number, segment_key
 from .properties import flatten_props, parse_props
 
-NUMERIC = (T.NumericType,)
-
-
 def require_columns(df: DataFrame, names: Sequence[str]) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
@@ -57,7 +54,8 @@ def type_numeric_columns(df: DataFrame, counts: dict, keep_text: Sequence[str])
 
 def fill_unknown(df: DataFrame, text: str = "unknown", num: float = 0) -> DataFrame:
     """Text: empty or missing becomes ``text``. Numbers: missing (NULL, NaN) becomes
-    ``num``. Other types stay as they are."""
+    ``num``. Booleans become the texts True and False, or ``text``, as they have to share
+    a column with it. Other types stay as they are."""
     out = []
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
@@ -65,7 +63,9 @@ def fill_unknown(df: DataFrame, text: str = "unknown", num: float = 0) -> DataFr
             c = F.when(c.isNull() | (c == ""), F.lit(text)).otherwise(c)
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             c = F.coalesce(F.nanvl(c, F.lit(float(num))), F.lit(float(num)))
-        elif isinstance(field.dataType, NUMERIC):
+        elif isinstance(field.dataType, T.BooleanType):
+            c = F.coalesce(F.initcap(c.cast("string")), F.lit(text))
+        elif isinstance(field.dataType, T.NumericType):
             c = F.coalesce(c, F.lit(num).cast(field.dataType))
         out.append(c.alias(field.name))
     return df.select(*out)
@@ -99,13 +99,13 @@ def clean_upload(
     not a number, or properties that are not a JSON object, stop the job
     (``on_bad='fail'``) or drop the row into :func:`rejected_rows` (``'quarantine'``).
     """
-    require_columns(raw, ("department", "article", "productProperties"))
+    required = ("department", "article", "productProperties")
+    require_columns(raw, required)
     df = drop_columns_matching(raw)
     counts = column_counts(df) if counts is None else counts
-    required = ("department", "article", "productProperties")
     df = df.select(*[F.col(f"`{c}`") for c in df.columns if c in required or counts[c][0] > 0])
     df = type_numeric_columns(
-        df, counts, keep_text=("department", "article", "productProperties", "target", "timestamp")
+        df, counts, keep_text=(*required, "target", "timestamp")
     )
     df = df.withColumn("segment", segment_key("department", "article"))
     if on_bad == "quarantine":

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -135,17 +135,23 @@ def label_encode(df: DataFrame, cols: Sequence[str], suffix: str = "_label") ->
 
 def one_hot(df: DataFrame, cols: Sequence[str], suffix: str = "_onehot") -> DataFrame:
     """Sparse indicator vector per column, one slot per category in sorted order and one
-    more for missing values. Meant for attributes with few categories: the category list
-    of each column is held by the driver."""
-    index = [f"_{c}_index" for c in cols]
-    model = StringIndexer(
-        inputCols=list(cols), outputCols=index, stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(df)
-    encoder = OneHotEncoder(
-        inputCols=index, outputCols=[c + suffix for c in cols], dropLast=False
-    )
-    indexed = model.transform(df)
-    return encoder.fit(indexed).transform(indexed).drop(*index)
+    more for missing values. Slots come from :func:`dense_codes`, so the category list is
+    never gathered in one place; the encoder only learns the largest slot."""
+    slots = [f"_{c}_slot" for c in cols]
+    coded = label_encode(df, cols, "_slot_code")
+    # Past every known slot: the encoder's extra slot for values it does not know.
+    unknown = F.lit(float(2**31 - 1))
+    coded = coded.withColumns(
+        {s: F.coalesce(F.col(f"{c}_slot_code").cast("double"), unknown) for s, c in zip(slots, cols)}
+    ).drop(*[f"{c}_slot_code" for c in cols])
+    known = coded
+    for s in slots:
+        known = known.filter(F.col(s) != unknown)
+    model = OneHotEncoder(
+        inputCols=slots, outputCols=[c + suffix for c in cols], dropLast=False,
+        handleInvalid="keep",
+    ).fit(known)
+    return model.transform(coded).drop(*slots)
 
 
 def decompose(df: DataFrame, period: int) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..params import cut_lineage
 from .features import add_date_flags, add_holiday, dense_codes, impute_seasonal, log_target, unlog
 from .panel import future_grid
 from .specs import Boosted
@@ -97,7 +98,7 @@ def learned_backtest(
     holidays: DataFrame | None = None,
 ) -> DataFrame:
     """Fit each spec once per fold (an action per fit) and forecast its test months."""
-    codes, out = segment_codes(panel), None
+    codes, out = cut_lineage(segment_codes(panel), "segment-codes"), None
     for fold, train_end, train_start in ends:
         train = panel.filter((F.col("from_end") >= train_end) & (F.col("t_idx") >= train_start))
         test = panel.filter(

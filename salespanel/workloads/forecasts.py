@@ -20,9 +20,10 @@ from ..operators.evaluation import (
     top_models,
 )
 from ..operators.forecasting import backtest, forecast
+from ..operators.learned import learned_forecast
 from ..operators.recurrence import linear_forecast
 from ..operators.specs import CLASSICAL, Boosted, Linear, Naive, SeasonalMA
-from ..operators.tuning import search
+from ..operators.tuning import refit, search
 from ..params import cut_lineage
 from .registry import Registry
 from .tables import (
@@ -250,3 +251,11 @@ def settings_search(spark, sf_dir):
     space = {"max_iter": ("int", 1, 3), "step_size": ("log", 0.05, 0.8), "max_depth": ("int", 2, 3)}
     _, trials = search(panel, HORIZON, space, n_trials=3, n_folds=2, prune=True)
     return trials
+
+
+@query()
+def refitted_best_forecast(spark, sf_dir):
+    panel = cut_lineage(sales_panel(spark, sf_dir))
+    space = {"max_iter": ("int", 1, 2), "max_depth": ("int", 2, 3)}
+    best, _ = search(panel, HORIZON, space, n_trials=2, n_folds=1)
+    return learned_forecast(panel, {best.name: refit(panel, best)}, {best.name: 0}, HORIZON)

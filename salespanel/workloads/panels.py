@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators.features import (
@@ -157,8 +158,6 @@ def attribute_labels(spark, sf_dir):
        1.0::DOUBLE AS hot_value, (SELECT count(DISTINCT p_type) + 1 FROM part)::INTEGER AS slots
 FROM part""")
 def one_hot_attributes(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
-
     coded = one_hot(table(spark, sf_dir, "part").select("p_partkey", "p_type"), ["p_type"])
     slots = coded.select("p_partkey", vector_to_array("p_type_onehot").alias("v"))
     return slots.select(
@@ -177,14 +176,14 @@ trended AS (SELECT *, CASE WHEN n = 11 THEN (s + (first + last) / 2) / 12 END AS
 phases AS (
   SELECT segment, t_idx % 12 AS phase, avg(target - trend) AS m FROM trended GROUP BY ALL),
 centres AS (SELECT segment, avg(m) AS centre FROM phases GROUP BY segment)
-SELECT segment, t_idx, target, round(trend, 4) + 0.0 AS trend,
-       round(m - centre, 4) + 0.0 AS seasonal,
-       round(target - trend - (m - centre), 4) + 0.0 AS resid
+SELECT segment, t_idx, target, round(trend, 7) + 0.0 AS trend,
+       round(m - centre, 7) + 0.0 AS seasonal,
+       round(target - trend - (m - centre), 7) + 0.0 AS resid
 FROM trended JOIN phases USING (segment) JOIN centres USING (segment)
 WHERE phase = t_idx % 12""")
 def seasonal_decomposition(spark, sf_dir):
     parts = decompose(sales_panel(spark, sf_dir), 12)
     return parts.select(
         "segment", "t_idx", "target",
-        *[F.round(c, 4).alias(c) for c in ("trend", "seasonal", "resid")],
+        *[F.round(c, 7).alias(c) for c in ("trend", "seasonal", "resid")],
     )

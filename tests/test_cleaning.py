@@ -63,7 +63,7 @@ def test_fill_depends_on_type(spark):
         [("", None, float("nan"), None), ("x", 3, 1.0, True)], "s string, n int, d double, b boolean"
     )
     assert [tuple(r) for r in fill_unknown(df).collect()] == [
-        ("unknown", 0, 0.0, None), ("x", 3, 1.0, True),
+        ("unknown", 0, 0.0, "unknown"), ("x", 3, 1.0, "True"),
     ]
 
 

@@ -12,6 +12,7 @@ from salespanel.operators.features import (
     impute_seasonal,
     label_encode,
     log_target,
+    one_hot,
     unlog,
 )
 from salespanel.operators.panel import drop_zero_segments, future_grid, regularise
@@ -131,6 +132,12 @@ def test_label_encode_leaves_missing_uncoded(spark):
     assert {r.c: r.c_label for r in label_encode(df, ["c"]).collect()} == {"a": 0, "b": 1, None: None}
 
 
+def test_one_hot_has_a_slot_for_missing(spark):
+    df = spark.createDataFrame([("b", "x"), ("a", None), (None, "x")], "c string, d string")
+    got = {r.c: (list(r.c_onehot), list(r.d_onehot)) for r in one_hot(df, ["c", "d"]).collect()}
+    assert got == {"a": ([1, 0, 0], [0, 1]), "b": ([0, 1, 0], [1, 0]), None: ([0, 0, 1], [1, 0])}
+
+
 @pytest.mark.parametrize("period", [3, 4])
 def test_decomposition_recovers_trend_and_season(spark, sales, period):
     season = [5.0, -2.0, -3.0, 0.0][:period]
