@@ -12,6 +12,7 @@ from .scalars import (
     na_to_null,
     parse_number,
     parse_ts,
+    present,
     process_number,
     round_half_even,
     segment_key,
@@ -35,6 +36,7 @@ __all__ = [
     "na_to_null",
     "parse_number",
     "parse_ts",
+    "present",
     "process_number",
     "round_half_even",
     "segment_key",

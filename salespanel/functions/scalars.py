@@ -49,6 +49,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def present(c: Column | str) -> Column:
+    """DOUBLE with NaN as NULL, so that sums and means skip it."""
+    return F.nanvl(_col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def clip0_fill(c: Column | str) -> Column:
     """Lower bound 0; NULL and NaN become 0."""
     x = _col(c).cast("double")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import clip0_fill, parse_number, segment_key
-from .properties import flatten_props, parse_props
+from .properties import flatten_props, is_json_object, parse_props, schema_from_text
 
 def require_columns(df: DataFrame, names: Sequence[str]) -> None:
     missing = [n for n in names if n not in df.columns]
@@ -18,18 +18,33 @@ def require_columns(df: DataFrame, names: Sequence[str]) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
-def column_counts(df: DataFrame) -> dict[str, tuple[int, int]]:
-    """Per column: (values present, values that read as a number). One aggregate."""
+def _count_columns(df: DataFrame) -> list[Column]:
     aggs = []
     for i, c in enumerate(df.columns):
         aggs.append(F.count(F.col(f"`{c}`")).alias(f"n{i}"))
         text = isinstance(df.schema[c].dataType, T.StringType)
         number = parse_number(F.col(f"`{c}`")) if text else F.lit(None)
         aggs.append(F.count(number).alias(f"x{i}"))
-    row = df.agg(*aggs).first()
+    return aggs
+
+
+def _counts(df: DataFrame, row) -> dict[str, tuple[int, int]]:
     return {c: (row[f"n{i}"], row[f"x{i}"]) for i, c in enumerate(df.columns)}
 
 
+def column_counts(df: DataFrame) -> dict[str, tuple[int, int]]:
+    """Per column: (values present, values that read as a number). One aggregate."""
+    return _counts(df, df.agg(*_count_columns(df)).first())
+
+
+def upload_profile(df: DataFrame) -> tuple[dict[str, tuple[int, int]], T.StructType]:
+    """Column counts and the union schema of the properties, from one pass."""
+    text = F.col("productProperties")
+    objects = F.when(is_json_object(text), F.try_parse_json(text))
+    row = df.agg(*_count_columns(df), F.schema_of_variant_agg(objects).alias("props")).first()
+    return _counts(df, row), schema_from_text(row["props"])
+
+
 def drop_empty_columns(df: DataFrame, counts: dict | None = None) -> DataFrame:
     """Without the columns that have no value at all. One aggregate, unless counted."""
     counts = column_counts(df) if counts is None else counts
@@ -94,22 +109,25 @@ def clean_upload(
     """Raw upload to prepared panel columns: junk columns out, ``segment`` built, target
     clipped, properties flattened to ``prop_*``, gaps filled.
 
-    One aggregate finds empty and numeric columns and one the property keys; give
-    ``counts`` and ``prop_schema`` to do without them (a stream has to). A target that is
+    One pass finds empty columns, numeric columns and property keys; give ``counts`` and
+    ``prop_schema`` to do without it (a stream has to). A target that is
     not a number, or properties that are not a JSON object, stop the job
     (``on_bad='fail'``) or drop the row into :func:`rejected_rows` (``'quarantine'``).
     """
     required = ("department", "article", "productProperties")
     require_columns(raw, required)
     df = drop_columns_matching(raw)
-    counts = column_counts(df) if counts is None else counts
+    if on_bad == "quarantine":
+        df = df.filter(~_bad_row(df))
+    if counts is None or prop_schema is None:
+        found_counts, found_schema = upload_profile(df)
+        counts = found_counts if counts is None else counts
+        prop_schema = found_schema if prop_schema is None else prop_schema
     df = df.select(*[F.col(f"`{c}`") for c in df.columns if c in required or counts[c][0] > 0])
     df = type_numeric_columns(
         df, counts, keep_text=(*required, "target", "timestamp")
     )
     df = df.withColumn("segment", segment_key("department", "article"))
-    if on_bad == "quarantine":
-        df = df.filter(~_bad_row(df))
     df = parse_props(df, "productProperties", "fail")
     if "target" in df.columns:
         number = parse_number("target")
@@ -123,10 +141,7 @@ def clean_upload(
 
 
 def _bad_row(df: DataFrame) -> Column:
-    props = F.try_parse_json("productProperties")
-    bad = props.isNull() | ~F.coalesce(
-        F.schema_of_variant(props).startswith("OBJECT"), F.lit(False)
-    )
+    bad = ~is_json_object("productProperties")
     if "target" in df.columns:
         bad = bad | (F.col("target").isNotNull() & parse_number("target").isNull())
     return bad

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import month_index, month_start
+from ..functions import month_index, month_start, present
 
 def by_segment():
     """Window over one segment: the way panel data is already partitioned."""
@@ -53,19 +53,19 @@ def monthly_totals(
     """``segment, month_no, target, nonzero``: one row per observed segment and month."""
     if duplicates not in ("sum", "error"):
         raise ValueError(f"duplicates must be 'sum' or 'error', not {duplicates!r}")
-    target = F.col("target").cast("double")
-    missing = target.isNull() | F.isnan(target)
-    total = F.sum(F.when(~missing, target))
+    target = present("target")
+    total = F.sum(target)
     if duplicates == "error":
         total = F.when(
             F.count(F.lit(1)) > 1,
             F.raise_error(F.lit("two rows for one segment and month")).cast("double"),
         ).otherwise(total)
-    nonzero = F.when(missing, F.lit(null_is_nonzero)).otherwise(target != 0)
+    nonzero = F.max(F.coalesce(target != 0, F.lit(null_is_nonzero)))
     return (
         df.filter(F.col("segment").isNotNull() & F.col("timestamp").isNotNull())
-        .groupBy("segment", month_index("timestamp").alias("month_no"))
-        .agg(total.alias("target"), F.max(nonzero).alias("nonzero"))
+        .groupBy("segment", F.trunc("timestamp", "month").alias("month"))
+        .agg(total.alias("target"), nonzero.alias("nonzero"))
+        .select("segment", month_index("month").alias("month_no"), "target", "nonzero")
     )
 
 

@@ -9,13 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def is_json_object(text: Column | str) -> Column:
+    """True when the text is a JSON object; never NULL. What parses and starts with a
+    brace is one, so no schema has to be worked out per row."""
+    text = F.col(text) if isinstance(text, str) else text
+    parses = F.try_parse_json(text).isNotNull() & text.rlike(r"^\s*\{")
+    return F.coalesce(parses, F.lit(False))
+
+
 def parse_props(df: DataFrame, col: str, on_bad: str = "fail") -> DataFrame:
     """JSON text to VARIANT. Missing or broken JSON, or JSON that is not an object, stops
     the job (``'fail'``) or becomes NULL with ``{col}_ok`` false (``'quarantine'``)."""
     if on_bad not in ("fail", "quarantine"):
         raise ValueError(f"on_bad must be 'fail' or 'quarantine', not {on_bad!r}")
-    parsed = F.try_parse_json(col)
-    is_object = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
+    parsed, is_object = F.try_parse_json(col), is_json_object(col)
     if on_bad == "quarantine":
         return df.withColumn(f"{col}_ok", is_object).withColumn(col, F.when(is_object, parsed))
     bad = F.raise_error(
@@ -27,7 +34,11 @@ def parse_props(df: DataFrame, col: str, on_bad: str = "fail") -> DataFrame:
 def props_schema(df: DataFrame, col: str) -> T.StructType:
     """Union of the keys and types seen in a VARIANT column: one aggregate, and only the
     schema text comes back. Values of clashing types get StringType."""
-    text = df.agg(F.schema_of_variant_agg(col)).first()[0]
+    return schema_from_text(df.agg(F.schema_of_variant_agg(col)).first()[0])
+
+
+def schema_from_text(text: str | None) -> T.StructType:
+    """The struct type a VARIANT schema text such as ``OBJECT<k: BIGINT>`` describes."""
     if not text or not text.startswith("OBJECT"):
         return T.StructType()
     # Outside of back-quoted names, rewrite the type words Spark's DDL does not have.

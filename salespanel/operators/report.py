@@ -1,8 +1,8 @@
 """Month-by-month report of history and forecast, one row per article (and department).
 
-History and forecast become one long table of (keys, column label, value): a sale counts
-under its month and, if recent, also under the trailing total; a forecast point counts
-under three labels. One pivot of that table replaces a pivot and an outer join per
+History and forecast become one long table of (keys, column label, value): a month's sales
+count under that month and, if recent, under the trailing total; a forecast point counts
+under its three measures. One pivot of that table replaces a pivot and an outer join per
 measure. The pivot sums per (keys, label) first, so no key has more rows afterwards than
 the report has columns.
 """
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import month_label, process_number, split_segment_last
+from ..functions import month_label, present, process_number, split_segment_last
 from ..params import cut_lineage
 from .summary import MEASURES
 
@@ -55,9 +55,11 @@ def monthly_sum(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> Da
     rows = df.filter(F.col("timestamp").isNotNull())
     for k in keys:
         rows = rows.filter(F.col(k).isNotNull())
-    return rows.groupBy(*keys, month_label("timestamp").alias("month")).agg(
-        *[F.coalesce(F.sum(v), F.lit(0.0)).alias(v) for v in values]
+    sums = rows.groupBy(*keys, F.trunc("timestamp", "month").alias("month")).agg(
+        *[F.coalesce(F.sum(present(v)), F.lit(0.0)).alias(v) for v in values]
     )
+    # Text is made per sum, not per row.
+    return sums.withColumn("month", month_label("month"))
 
 
 def trailing_total(
@@ -67,13 +69,13 @@ def trailing_total(
     rows = trailing_days(df, days=days)
     for k in keys:
         rows = rows.filter(F.col(k).isNotNull())
-    return rows.groupBy(*keys).agg(process_number(F.sum("target")).alias(name))
+    return rows.groupBy(*keys).agg(process_number(F.sum(present("target"))).alias(name))
 
 
 def month_list(df: DataFrame) -> list[str]:
     """Sorted distinct months: as many rows as the calendar has, not the data."""
-    rows = df.select(month_label("timestamp").alias("m")).filter("m IS NOT NULL").distinct()
-    return sorted(r.m for r in rows.collect())
+    months = df.select(F.trunc("timestamp", "month").alias("m")).filter("m IS NOT NULL").distinct()
+    return [r.m for r in months.select(month_label("m").alias("m")).orderBy("m").collect()]
 
 
 def pivot_months(
@@ -126,22 +128,31 @@ def combined_report(
     keys = [DEPARTMENT, ARTICLE] if grain == "department" else [ARTICLE]
     trailing, *totals = TOTAL_COLUMNS[grain]
 
-    # A sale counts under its month, and under the trailing total if it is recent.
-    recent = F.when(F.col("timestamp") >= _cutoff(hist, "timestamp", days), F.lit(trailing))
-    sales = with_report_keys(hist, grain).select(
-        *keys, F.explode(F.array(month_label("timestamp"), recent)).alias("label"),
-        F.col("target").alias("value"),
+    # Raw rows are summed under the columns they come with. Keys and labels are made of
+    # the sums: a month's total under that month, its recent part under the trailing total.
+    given = ["segment", "department"] if grain == "department" else ["segment"]
+    value = present("target")
+    recent = F.when(F.col("timestamp") >= _cutoff(hist, "timestamp", days), value)
+    sums = hist.groupBy(*given, F.trunc("timestamp", "month").alias("month")).agg(
+        F.sum(value).alias("total"), F.sum(recent).alias("recent")
+    )
+    sales = with_report_keys(sums, grain).select(
+        *keys,
+        F.inline(F.array(
+            F.struct(month_label("month").alias("label"), F.col("total").alias("value")),
+            F.struct(F.lit(trailing).alias("label"), F.col("recent").alias("value")),
+        )),
     )
     keyed_fc = with_report_keys(fc.select("segment", "timestamp", *MEASURES), grain)
     measures = [
         F.struct(
             F.concat(month_label("timestamp"), F.lit(f"-forecast_{s}")).alias("label"),
-            F.col(c).alias("value"),
+            present(c).alias("value"),
         )
         for s, c in zip(SUFFIXES, MEASURES)
     ]
     per_key = [
-        F.struct(F.lit(t).alias("label"), F.col(c).alias("value"))
+        F.struct(F.lit(t).alias("label"), present(c).alias("value"))
         for t, c in zip(totals, MEASURES)
     ]
     # A segment without points still counts as one forecast of its article, with value 0.
@@ -186,7 +197,7 @@ def _per_segment_totals(wide, keyed_fc, keys, totals):
     for those that have none. Spark can split a hot key on either side of an inner join;
     on the right of a left join it can not."""
     sums = keyed_fc.groupBy("segment", *keys).agg(
-        *[process_number(F.sum(c)).alias(t) for c, t in zip(MEASURES, totals)]
+        *[process_number(F.sum(present(c))).alias(t) for c, t in zip(MEASURES, totals)]
     )
     with_forecast = wide.filter(F.col(HAS_FORECAST).isNotNull()).drop(*totals).join(
         sums.drop("segment"), keys, "inner"

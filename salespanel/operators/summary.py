@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clip0_keep, process_number, round_half_even, split_segment
+from ..functions import clip0_keep, present, process_number, round_half_even, split_segment
 
 MEASURES = ("target", "target_lower", "target_upper")
 # Fixed value: label of the grand-total row.
@@ -32,13 +32,12 @@ def clip_quantiles(fc: DataFrame) -> DataFrame:
 
 def horizon_totals(fc: DataFrame, keys: Sequence[str] = ("segment",)) -> DataFrame:
     """Rounded non-negative totals over the horizon: ``forecast_mean/lower/upper``."""
-    present = [F.col(k).isNotNull() for k in keys]
     rows = fc
-    for p in present:
-        rows = rows.filter(p)
+    for k in keys:
+        rows = rows.filter(F.col(k).isNotNull())
     return rows.groupBy(*keys).agg(
         *[
-            process_number(F.sum(c)).alias(f"forecast_{name}")
+            process_number(F.sum(present(c))).alias(f"forecast_{name}")
             for c, name in zip(MEASURES, ("mean", "lower", "upper"))
         ]
     )
@@ -55,7 +54,7 @@ def forecast_summary(fc: DataFrame, ordered: bool = True) -> DataFrame:
         .filter(F.col("department").isNotNull() & F.col("article").isNotNull())
         .groupBy("department", "article")
         .agg(
-            F.coalesce(F.sum("target"), F.lit(0.0)).alias("target"),
+            F.coalesce(F.sum(present("target")), F.lit(0.0)).alias("target"),
             *[
                 round_half_even(F.coalesce(F.sum(f"`{c}`"), F.lit(0.0))).alias(c)
                 for c in quantiles
@@ -81,7 +80,7 @@ def segment_sums(fc: DataFrame, total_label: str = TOTAL_LABEL) -> DataFrame:
         fc.filter(F.col("segment").isNotNull())
         .rollup("segment")
         .agg(
-            F.coalesce(F.sum("target"), F.lit(0.0)).alias("total"),
+            F.coalesce(F.sum(present("target")), F.lit(0.0)).alias("total"),
             F.grouping("segment").alias("is_total"),
         )
         .select(
