@@ -51,25 +51,67 @@ def _estimator(spec):
     )
 
 
+def training_rows(
+    panel: DataFrame, codes: DataFrame, holidays: DataFrame | None = None
+) -> DataFrame:
+    """``y`` and the features. Rows with no observed or imputed target are left out; they
+    say nothing about the target."""
+    known = impute_seasonal(log_target(panel, out_col="y"), column="y").filter("y IS NOT NULL")
+    return calendar_features(known, codes, holidays).select("y", *FEATURES)
+
+
+def fit_rows(rows: DataFrame, spec) -> PipelineModel:
+    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+    return Pipeline(stages=[assembler, _estimator(spec)]).fit(rows)
+
+
+def predict_rows(model: PipelineModel, features: DataFrame) -> DataFrame:
+    """``features`` rows with ``yhat`` on the original scale, without the features."""
+    scored = model.transform(features).withColumn("yhat", unlog("prediction"))
+    return scored.drop(*FEATURES, "features", "prediction")
+
+
 def fit(
     panel: DataFrame, spec, codes: DataFrame | None = None, holidays: DataFrame | None = None
 ) -> PipelineModel:
-    """Fit one spec on the whole panel. Rows with no observed or imputed target are left
-    out of training; they say nothing about the target."""
+    """Fit one spec on the whole panel."""
     codes = segment_codes(panel) if codes is None else codes
-    train = impute_seasonal(log_target(panel, out_col="y"), column="y").filter("y IS NOT NULL")
-    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    return Pipeline(stages=[assembler, _estimator(spec)]).fit(
-        calendar_features(train, codes, holidays).select("y", *FEATURES)
-    )
+    return fit_rows(training_rows(panel, codes, holidays), spec)
 
 
 def predict(
     model: PipelineModel, rows: DataFrame, codes: DataFrame, holidays: DataFrame | None = None
 ) -> DataFrame:
     """``rows`` with ``yhat`` on the original scale."""
-    scored = model.transform(calendar_features(rows, codes, holidays))
-    return scored.withColumn("yhat", unlog("prediction")).select(*rows.columns, "yhat")
+    return predict_rows(model, calendar_features(rows, codes, holidays)).select(
+        *rows.columns, "yhat"
+    )
+
+
+def fold_tables(
+    panel: DataFrame, codes: DataFrame, horizon: int, end, holidays: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of one fold with their features, stored once for however
+    many models are fitted on them."""
+    _, train_end, train_start = end
+    train = panel.filter((F.col("from_end") >= train_end) & (F.col("t_idx") >= train_start))
+    test = panel.filter(
+        (F.col("from_end") < train_end) & (F.col("from_end") >= train_end - horizon)
+    ).select(
+        "segment", "timestamp", F.col("target").alias("actual"),
+        (F.lit(train_end) - F.col("from_end")).alias("h"),
+    )
+    return (
+        cut_lineage(training_rows(train, codes, holidays), "train"),
+        cut_lineage(calendar_features(test, codes, holidays), "test"),
+    )
+
+
+def fold_forecast(train: DataFrame, test: DataFrame, spec, number: int, fold: int) -> DataFrame:
+    return predict_rows(fit_rows(train, spec), test).select(
+        F.lit(spec.name).alias("model"), F.lit(number).alias("candidate_no"),
+        F.lit(fold).alias("fold"), "segment", "h", "timestamp", "actual", "yhat",
+    )
 
 
 def learned_forecast(
@@ -99,17 +141,9 @@ def learned_backtest(
 ) -> DataFrame:
     """Fit each spec once per fold (an action per fit) and forecast its test months."""
     codes, out = cut_lineage(segment_codes(panel), "segment-codes"), None
-    for fold, train_end, train_start in ends:
-        train = panel.filter((F.col("from_end") >= train_end) & (F.col("t_idx") >= train_start))
-        test = panel.filter(
-            (F.col("from_end") < train_end) & (F.col("from_end") >= train_end - horizon)
-        ).withColumn("h", train_end - F.col("from_end"))
+    for end in ends:
+        train, test = fold_tables(panel, codes, horizon, end, holidays)
         for spec, number in zip(specs, numbers):
-            model = fit(train, spec, codes, holidays)
-            part = predict(model, test, codes, holidays).select(
-                F.lit(spec.name).alias("model"), F.lit(number).alias("candidate_no"),
-                F.lit(fold).alias("fold"), "segment", "h", "timestamp",
-                F.col("target").alias("actual"), "yhat",
-            )
+            part = fold_forecast(train, test, spec, number, end[0])
             out = part if out is None else out.unionByName(part)
     return out

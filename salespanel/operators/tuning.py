@@ -12,9 +12,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..params import parameter_table
+from ..params import cut_lineage, parameter_table
 from .evaluation import metrics
-from .learned import fit, learned_backtest
+from .learned import fit, fold_forecast, fold_tables, segment_codes
 from .recurrence import folds
 from .specs import Boosted
 
@@ -43,12 +43,14 @@ def draw(space: dict, rng: random.Random) -> dict:
     return values
 
 
-def _fold_rmse(panel, specs, horizon, end, holidays, parallelism) -> dict[str, float]:
+def _fold_rmse(panel, codes, specs, horizon, end, holidays, parallelism) -> dict[str, float]:
     """Mean RMSE over segments, per spec, on one fold: one number per spec comes back.
-    Each fit is a distributed job; ``parallelism`` of them are in flight at a time."""
+    The fold's tables are made once; each fit is a distributed job, ``parallelism`` of
+    them in flight at a time."""
+    train, test = fold_tables(panel, codes, horizon, end, holidays)
 
     def one(spec):
-        bt = learned_backtest(panel, [spec], [0], horizon, [end], holidays)
+        bt = fold_forecast(train, test, spec, 0, end[0])
         return spec.name, metrics(bt).agg(F.avg("rmse")).first()[0]
 
     with ThreadPool(parallelism) as pool:
@@ -72,9 +74,10 @@ def search(
     specs = [Boosted(**d, seed=seed, name=f"trial_{i}") for i, d in enumerate(draws)]
     scores: dict[str, list[float]] = {s.name: [] for s in specs}
     alive = list(specs)
+    codes = cut_lineage(segment_codes(panel), "segment-codes")
     for done, end in enumerate(folds(n_folds, horizon, "constant"), start=1):
         for name, rmse in _fold_rmse(
-            panel, alive, horizon, end, holidays, parallelism
+            panel, codes, alive, horizon, end, holidays, parallelism
         ).items():
             if rmse is not None:
                 scores[name].append(rmse)

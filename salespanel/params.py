@@ -7,9 +7,10 @@ import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: Above this many rows a parameter table is left for the optimiser to place.
-BROADCAST_ROWS = 200_000
+#: Largest parameter table, in rows of a few numbers, that is broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def _literal(value) -> str:
@@ -23,12 +24,12 @@ def _literal(value) -> str:
 
 
 def parameter_table(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str]) -> DataFrame:
-    """Rows as SQL VALUES: Spark then knows the exact size and chooses the broadcast
-    itself, against its own threshold."""
+    """Driver-made rows as a table. The row count is known here, so the broadcast hint is
+    given only when it is small; beyond that Spark places the join."""
     if len(rows) > BROADCAST_ROWS:
         return spark.createDataFrame(list(rows), list(columns))
     body = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)
-    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
+    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})"))
 
 
 def checkpoint_root(spark: SparkSession) -> str:
