@@ -32,14 +32,7 @@ PANDAS_NA = (
 )
 
 # Day-first patterns first, ISO last: 02.01.2024 is 2 January.
-DAY_FIRST_FORMATS = (
-    "d.M.yyyy",
-    "d/M/yyyy",
-    "d-M-yyyy",
-    "yyyy-M-d",
-    "d.M.yyyy H:mm:ss",
-    "yyyy-M-d H:mm:ss",
-)
+DAY_FIRST_FORMATS = ("d.M.yyyy", "d/M/yyyy", "d-M-yyyy", "yyyy-M-d")
 
 # A plain decimal number. Spark's own cast also takes '5d' and 'Infinity'.
 NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
@@ -120,11 +113,12 @@ def day_label(ts: Column | str) -> Column:
 
 
 def parse_ts(c: Column | str, formats: Sequence[str] = DAY_FIRST_FORMATS) -> Column:
-    """First pattern that fits, as TIMESTAMP_NTZ; NULL when none does."""
-    c = F.trim(_col(c))
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast(
-        "timestamp_ntz"
-    )
+    """Date text, with or without a time of day, as TIMESTAMP_NTZ. The first date pattern
+    that fits counts; NULL when none does. The session's time zone plays no part."""
+    parts = F.split(F.trim(_col(c)), "[ T]+", 2)
+    date = F.coalesce(*[F.try_to_date(parts[0], f) for f in formats])
+    clock = F.coalesce(F.get(parts, F.lit(1)), F.lit("00:00:00"))
+    return F.concat(date.cast("string"), F.lit(" "), clock).try_cast("timestamp_ntz")
 
 
 def na_to_null(c: Column | str, tokens: Sequence[str] = PANDAS_NA) -> Column:

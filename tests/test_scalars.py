@@ -3,7 +3,6 @@ import math
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from salespanel.functions import (
     accuracy,
@@ -72,10 +71,21 @@ def test_na_tokens(spark):
 
 def test_dates_are_day_first(spark):
     got = column(
-        spark, ["02.01.2024", "2024-01-02", "31.02.2024", "2/1/2024", None], "string",
-        F.date_format(parse_ts("x"), "yyyy-MM-dd"),
+        spark, ["02.01.2024", "2024-01-02", "31.02.2024", "2/1/2024", None, "x", "02.01.2024 9:05:07"],
+        "string", parse_ts("x").cast("string"),
     )
-    assert got == ["2024-01-02", "2024-01-02", None, "2024-01-02", None]
+    day = "2024-01-02 00:00:00"
+    assert got == [day, day, None, day, None, None, "2024-01-02 09:05:07"]
+
+
+def test_dates_do_not_depend_on_the_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:  # midnight did not exist there on this day
+        assert column(spark, ["15.10.1995"], "string", parse_ts("x").cast("string")) == [
+            "1995-10-15 00:00:00"
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 ACCURACY_CASES = [
