@@ -81,7 +81,7 @@ def upload_rejects(spark, sf_dir):
     broken = raw_uploads(spark, sf_dir).withColumns(
         {
             "productProperties": F.when(
-                kind == "error", F.expr("substring(productProperties, 1, 3)")
+                kind == "error", F.regexp_replace("productProperties", r"\}", "")
             ).otherwise(F.col("productProperties")),
             "target": F.when(kind == "view", F.concat("target", F.lit("x"))).otherwise(
                 F.col("target")
