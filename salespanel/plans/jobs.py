@@ -30,7 +30,7 @@ from ..operators.learned import fit as fit_learned
 from ..operators.panel import regularise
 from ..operators.report import combined_report
 from ..operators.specs import CANDIDATES
-from ..operators.summary import clip_quantiles, quantile_columns
+from ..operators.summary import clip_quantiles
 from ..operators.tuning import SPACE, search
 from ..functions import clip0_fill
 from ..sources import (

@@ -38,7 +38,6 @@ from .tables import (
     PANEL,
     ROLLED,
     SELECTION,
-    WEIGHTS,
     forecast_sql,
     sales_panel,
 )
