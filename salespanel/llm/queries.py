@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..workloads.registry import Registry
-from . import arc, automaton, quality_rules, ring, subsequence, temperature
+from . import arc, automaton, quality_rules, ring, subsequence, temperature, tensored
 
 query = Registry()
 
@@ -42,6 +42,12 @@ def op8_main_text(spark, sf_dir):
     return subsequence.main_texts(table(spark, sf_dir, "pages"))
 
 
+@query()
+def op9_tensored_minhash(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return tensored.near_duplicates(docs, tensored.Likeness(words=3, percent=85))
+
+
 @query()
 def op10_ring_shards(spark, sf_dir):
     return ring.shard_documents(table(spark, sf_dir, "documents"))
