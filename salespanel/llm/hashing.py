@@ -97,17 +97,41 @@ class Words:
         return mixed((sums[n : n + m] - sums[:m]) * _geometric(pow(_BASE, -1, 1 << 64), m))
 
 
-def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+def sliding_least(values: np.ndarray, width: int, most: int = 1 << 23) -> np.ndarray:
     """Place of the least value (the first of equals) in every `width` neighbours. Values are
-    compared by their upper 40 bits; there are less than 2^24."""
+    compared by their upper 40 bits; longer arrays go in parts, which makes no difference."""
     n = len(values) - width + 1
     if n <= 0:
         return np.empty(0, np.int64)
-    places = np.arange(len(values), dtype=np.uint64)
-    packed = (values & np.uint64(0xFFFFFFFFFF000000)) | places
+    if n > most:
+        parts = (sliding_least(values[lo : lo + most + width - 1], width) + lo for lo in range(0, n, most))
+        return np.concatenate(list(parts))
+    low = np.uint64(0xFFFFFF)
     padded = np.full(-(-len(values) // width) * width, np.uint64(2**64 - 1))
-    padded[: len(values)] = packed
+    padded[: len(values)] = (values & ~low) | np.arange(len(values), dtype=np.uint64)
     blocks = padded.reshape(-1, width)
     after = np.minimum.accumulate(blocks, axis=1).ravel()
     before = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return (np.minimum(before[:n], after[width - 1 : width - 1 + n]) & np.uint64(0xFFFFFF)).astype(np.int64)
+    return (np.minimum(before[:n], after[width - 1 : width - 1 + n]) & low).astype(np.int64)
+
+
+def anchor_runs(grams: np.ndarray, first: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, ...]:
+    """Windows of `window` units of the texts that begin at `first`, by their anchors. A window's
+    anchor is the least of the grams inside, so equal windows have equal anchors at equal
+    places. For each run of windows of one text with one anchor: text, first and last window
+    start (from the text's start), place of the anchor, its hash."""
+    total = int(first[-1])
+    of = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    n = max(0, total - window + 1)
+    starts = np.flatnonzero(of[:n] == of[window - 1 : window - 1 + n])
+    if not len(starts):
+        return (np.empty(0, np.int64),) * 4 + (np.empty(0, np.uint64),)
+    at = sliding_least(grams, window - gram + 1)[starts]
+    whose = of[starts]
+    new = np.ones(len(starts), bool)
+    new[1:] = (at[1:] != at[:-1]) | (whose[1:] != whose[:-1])
+    lo = np.flatnonzero(new)
+    hi = np.append(lo[1:], len(starts)) - 1
+    text = whose[lo]
+    base = first[text]
+    return text, starts[lo] - base, starts[hi] - base, at[lo] - base, grams[at[lo]]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..workloads.registry import Registry
-from . import arc, automaton, quality_rules, ring, subsequence, temperature, tensored
+from . import arc, automaton, quality_rules, ring, sketch_dedup, subsequence, temperature, tensored
 
 query = Registry()
 
@@ -20,6 +20,11 @@ def op1_quality_rules(spark, sf_dir):
     return quality_rules.quality_decisions(docs, table(spark, sf_dir, "labels"))
 
 
+@query()
+def op2_count_min_passages(spark, sf_dir):
+    return sketch_dedup.removal(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_temperature_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
