@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..workloads.registry import Registry
-from . import arc, automaton, quality_rules, ring, sketch_dedup, subsequence, suffix, temperature, tensored
+from . import arc, automaton, licenses, quality_rules, ring, sketch_dedup, subsequence, suffix, temperature, tensored
 
 query = Registry()
 
@@ -42,6 +42,11 @@ def op5_legacy_archives(spark, sf_dir):
     return arc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+@query()
+def op6_license_paragraphs(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op7_suffix_array_strings(spark, sf_dir):
     return suffix.removal(table(spark, sf_dir, "documents"))
