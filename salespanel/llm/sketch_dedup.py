@@ -33,9 +33,10 @@ from .arrow import to_columns, with_columns
 from .hashing import Words, anchor_runs, mixed, slices
 from .repeats import by_key, digest_of, keyed, suspects
 
-CELL_BITS = 17  # cells in each of the two rows of a block
+ROWS = 3
+CELL_BITS = 19  # cells in each row of a block
 CELLS = 1 << CELL_BITS
-CELLS_PER_ANCHOR = 4
+CELLS_PER_ANCHOR = 12  # a lone anchor looks repeated once in two thousand times
 FLUSH = 1_000_000  # anchors that a task gathers before it hands them on
 ASKED = np.dtype([("hash", "<u8"), ("key", "<i8"), ("lo", "<i4"), ("more", "u1")])
 
@@ -48,15 +49,16 @@ class Passage:
     gram: int = 10
 
 
-def _cells(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash's cells in the two rows, the second row after the first."""
+def _cells(hashes: np.ndarray) -> list[np.ndarray]:
+    """A hash's cells in the rows, one row after the other."""
     low = np.uint64(CELLS - 1)
-    one, two = hashes & low, (hashes >> np.uint64(CELL_BITS)) & low
-    return one.astype(np.int64), two.astype(np.int64) + CELLS
+    return [
+        ((hashes >> np.uint64(r * CELL_BITS)) & low).astype(np.int64) + r * CELLS for r in range(ROWS)
+    ]
 
 
 def _blocks(hashes: np.ndarray, blocks: int) -> np.ndarray:
-    return ((hashes >> np.uint64(2 * CELL_BITS)) % np.uint64(blocks)).astype(np.int64)
+    return (mixed(hashes ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(blocks)).astype(np.int64)
 
 
 def _anchors(batch: pa.RecordBatch, like: Passage) -> np.ndarray:
@@ -113,7 +115,7 @@ def sketch(docs: DataFrame, like: Passage, blocks: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(parts, pa.binary())], ["block", "part"])
 
     def merge(parts: pa.Table) -> pa.Table:
-        counts = np.zeros(2 * CELLS, np.uint8)
+        counts = np.zeros(ROWS * CELLS, np.uint8)
         for part in parts.column("part"):
             entries = np.frombuffer(part.as_py(), np.uint32)
             cells = entries & np.uint32(2**31 - 1)  # each once in a partition's sketch
@@ -150,8 +152,7 @@ def estimated(docs: DataFrame, like: Passage, merged: DataFrame, blocks: int) ->
         for part, known in zip(parts.column("part"), parts.column("known")):
             found = np.frombuffer(part.as_py(), ASKED)
             if not known.as_py():
-                one, two = _cells(found["hash"])
-                found = found[(bits[one] & bits[two]).astype(bool)]
+                found = found[np.all([bits[c] for c in _cells(found["hash"])], axis=0)]
             out.append(found)
         found = np.concatenate(out)
         lo = found["lo"].astype(np.int32)

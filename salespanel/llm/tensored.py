@@ -8,11 +8,14 @@ other set has is in no shared table key, so half keys that occur once are droppe
 are formed; this loses nothing.
 
 Equal sets are one class and take part once. In every bucket of a table the members are
-compared with a leader on their full sets: first with the least, then with the one that has
-most links, and last, where a bucket still holds different components, with the members of the
-other components. Links inside a component need no proof, so a group of thousands of copies
-costs one comparison each and not one for each pair. No bucket is capped. Sets are built again
-for classes in shared buckets only.
+compared with a leader on their full sets: first with a pseudo-random one, then with the one
+that has most links. Links inside a component need no proof, so a group of thousands of copies
+costs a comparison each and not one for each pair. Where a bucket still holds different
+components, members can be linked only if they differ from the leader in the same elements:
+if x and the leader are not linked, the differences of x and y to the leader share at least
+one element, and more the farther x or y are. So an index of the rarest differences, as many as
+the bounds leave (prefix filter), finds every pair that can be linked, and these are compared.
+No bucket is capped. Sets are built again for classes in shared buckets only.
 
 Words: A-Z in lower case, runs of anything but ASCII white space. A text with fewer words than
 `words` has its whole sequence as the only element; a null or wordless text has an empty set,
@@ -164,51 +167,113 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return with_columns(both, one, "linked boolean", ("x", "y")).filter("linked").select("a", "b")
 
 
-def _led(members: DataFrame, order) -> DataFrame:
-    """Pairs of each bucket's members with the one that is last in `order`."""
+def _led(members: DataFrame, order, oriented: bool = False) -> DataFrame:
+    """Pairs of each bucket's members with the one that is last in `order`: (a, b), or
+    (digest, leader)."""
     lead = members.groupBy("bucket").agg(F.max(F.struct(order.alias("order"), "digest")).alias("lead"))
-    return (
-        members.join(lead.select("bucket", F.col("lead.digest").alias("leader")), "bucket")
-        .filter("digest <> leader")
-        .select(F.least("digest", "leader").alias("a"), F.greatest("digest", "leader").alias("b"), *[
-            c for c in members.columns if c == "root"
-        ])
+    pairs = members.join(lead.select("bucket", F.col("lead.digest").alias("leader")), "bucket").filter("digest <> leader")
+    if oriented:
+        return pairs.select("digest", "leader")
+    return pairs.select(F.least("digest", "leader").alias("a"), F.greatest("digest", "leader").alias("b"))
+
+
+def _differences(led: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """digest, leader, size, gap, near (linked with the leader), apart: the elements that only
+    one of digest and leader holds, as an array; `led` has each pair once."""
+
+    def one(batch: pa.RecordBatch) -> dict:
+        x, y = (batch.column(batch.schema.get_field_index(c)) for c in ("x", "y"))
+        out = {"size": [], "gap": [], "near": [], "apart": []}
+        for p, q in zip(x, y):
+            p, q = np.frombuffer(p.as_py(), np.uint64), np.frombuffer(q.as_py(), np.uint64)
+            apart = np.setxor1d(p, q, assume_unique=True)
+            union = (len(p) + len(q) + len(apart)) // 2
+            out["size"].append(len(p))
+            out["gap"].append(len(q) - len(p))
+            out["near"].append(100 * (union - len(apart)) >= percent * union)
+            out["apart"].append(apart.view(np.int64))
+        return out
+
+    mine = sets.select("digest", F.col("elements").alias("x"))
+    lead = sets.select(F.col("digest").alias("leader"), F.col("elements").alias("y"))
+    return with_columns(
+        led.join(mine, "digest").join(lead, "leader"), one,
+        "size long, gap long, near boolean, apart array<long>", ("x", "y"),
+    )
+
+
+def _possible(apart: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that differ alike enough from a common leader.
+
+    With t for the limit and k = (1 - t) / (1 + t), linked x and y differ in at most
+    k (|x| + |y|) elements, which is at most |x| (1 - t) / t. So all but that many of x's
+    differences are y's too; and if x is not linked with the leader, more than half of
+    |differences of y| + k (|leader| - |y|) are shared. Of n differences of which s must be
+    shared, one is among the n - s + 1 rarest on either side. Lengths leave out pairs that
+    differ too much anyway."""
+    t = percent / 100
+    k = (1 - t) / (1 + t)
+    n = F.size("apart")
+    far = F.floor(F.col("size") * ((1 - t) / t) + 1e-9) + 1
+    half = n - F.floor(F.greatest(F.lit(0.0), (n + k * F.col("gap")) / 2)) + 1
+    head = F.least(n, F.when(F.col("near"), F.least(half, far)).otherwise(far)).cast("int")
+    whole = cut_lineage(
+        apart.join(roots.withColumnRenamed("key", "digest"), "digest", "left").select(
+            "leader", "digest", F.coalesce("root", "digest").alias("root"), "size", "near", "apart",
+            n.alias("n"), head.alias("head"),
+        ),
+        "differences",
+    )
+    each = whole.select("leader", "digest", F.explode("apart").alias("element"))
+    often = each.groupBy("leader", "element").agg(F.count("*").alias("often")).filter("often > 1")
+    # an element that nobody shares takes a place among the rarest but finds nothing
+    shared = each.join(often, ["leader", "element"]).groupBy("leader", "digest").agg(
+        F.sort_array(F.collect_list(F.struct("often", "element"))).alias("known")
     )
+    heads = whole.drop("apart").join(shared, ["leader", "digest"]).withColumn(
+        "left", F.col("head") - (F.col("n") - F.size("known"))
+    ).filter("left > 0")
+    index = heads.select(
+        "leader", "digest", "root", "size", "near", "n", F.explode(F.slice("known", 1, F.col("left"))).alias("e")
+    ).withColumn("element", F.col("e.element")).drop("e")
+    index = cut_lineage(index, "index")
+    one = index.filter("NOT near").select("leader", "element", *[F.col(c).alias(f"{c}1") for c in ("digest", "root", "size", "n")])
+    two = index.select("leader", "element", *[F.col(c).alias(f"{c}2") for c in ("digest", "root", "size", "n", "near")])
+    most = k * (F.col("size1") + F.col("size2")) + 1e-9
+    pairs = one.join(two, ["leader", "element"]).filter(
+        (F.col("root1") != F.col("root2")) & (F.col("near2") | (F.col("digest1") < F.col("digest2")))
+        & (F.abs(F.col("n1") - F.col("n2")) <= most)
+    )
+    return pairs.select(F.least("digest1", "digest2").alias("a"), F.greatest("digest1", "digest2").alias("b")).distinct()
 
 
 def links(docs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
     """Verified links (a, b) between classes that connect whatever is connected."""
     buckets = _buckets(classes, like.tables)
     sets = _sets(docs, classes, buckets.select("digest").distinct(), like)
-    tested = cut_lineage(_led(buckets, F.xxhash64(F.lit(0))).select("a", "b").distinct(), "pairs")
-    found = cut_lineage(_linked(tested, sets, like.percent), "linked")
-
-    def divided(found: DataFrame) -> DataFrame:
-        """bucket, digest, root, degree, in buckets that hold more than one component."""
-        roots = components(found).withColumnRenamed("key", "digest")
-        degree = (
-            found.select(F.col("a").alias("digest")).union(found.select("b")).groupBy("digest")
-            .agg(F.count("*").alias("degree"))
-        )
-        known = buckets.join(roots, "digest", "left").join(degree, "digest", "left").select(
+    first = cut_lineage(_led(buckets, F.xxhash64("digest")).distinct(), "pairs")
+    found = cut_lineage(_linked(first, sets, like.percent), "linked")
+
+    roots = cut_lineage(components(found), "roots")
+    degree = (
+        found.select(F.col("a").alias("digest")).union(found.select("b")).groupBy("digest")
+        .agg(F.count("*").alias("degree"))
+    )
+    known = cut_lineage(
+        buckets.join(roots.withColumnRenamed("key", "digest"), "digest", "left").join(degree, "digest", "left").select(
             "bucket", "digest", F.coalesce("root", "digest").alias("root"), F.coalesce("degree", F.lit(0)).alias("degree")
-        )
-        known = cut_lineage(known, "members")
-        several = known.groupBy("bucket").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p <> q")
-        return known.join(several.select("bucket"), "bucket")
-
-    for last in (False, True):
-        members = divided(found)
-        if last:  # every two members of different components
-            one = members.select("bucket", F.col("digest").alias("a"), F.col("root").alias("r"))
-            other = members.select("bucket", F.col("digest").alias("b"), F.col("root").alias("s"))
-            pairs = one.join(other, "bucket").filter("a < b AND r <> s").select("a", "b")
-        else:
-            pairs = _led(members, F.col("degree")).select("a", "b")
-        pairs = cut_lineage(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = found.unionByName(cut_lineage(_linked(pairs, sets, like.percent), "linked"))
-        tested = tested.unionByName(pairs)
-    return found
+        ),
+        "members",
+    )
+    several = known.groupBy("bucket").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p <> q")
+    divided = known.join(several.select("bucket"), "bucket").select("bucket", "digest", "degree")
+    second = cut_lineage(_led(divided, F.struct("degree", F.xxhash64("digest")), oriented=True).distinct(), "pairs")
+    apart = cut_lineage(_differences(second, sets, like.percent), "apart")
+    found = found.union(apart.filter("near").select(F.col("digest").alias("a"), F.col("leader").alias("b")))
+
+    roots = cut_lineage(components(found), "roots")
+    pairs = cut_lineage(_possible(apart, roots, like.percent), "pairs")
+    return found.union(cut_lineage(_linked(pairs, sets, like.percent), "linked"))
 
 
 def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
