@@ -83,13 +83,14 @@ def impute_seasonal(
     return df.withColumn(column, F.coalesce(F.col(column), F.avg(column).over(w)))
 
 
-def dense_codes(keys: DataFrame, key: str, code: str, cuts: int = 256) -> DataFrame:
+def dense_codes(keys: DataFrame, key: str, code: str) -> DataFrame:
     """0-based position of every distinct key in sorted order, with no global sort.
 
-    A hash-ordered sample of at most ``cuts`` keys splits the key space into ranges; keys
-    are numbered inside their range and shifted by the sizes of the ranges before. The
-    sample depends on the keys alone, so a recomputed task gives the same codes.
+    A hash-ordered sample of keys, one for each shuffle partition, splits the key space into
+    ranges; keys are numbered inside their range and shifted by the sizes of the ranges
+    before. The sample depends on the keys alone, so a recomputed task gives the same codes.
     """
+    cuts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     distinct = keys.filter(F.col(key).isNotNull()).select(key).distinct()
     sample = (
         distinct.orderBy(F.xxhash64(key), key).limit(cuts)
@@ -98,7 +99,7 @@ def dense_codes(keys: DataFrame, key: str, code: str, cuts: int = 256) -> DataFr
     ranged = distinct.withColumn("_cuts", sample).select(
         key, F.size(F.filter("_cuts", lambda c: c <= F.col(key))).alias("_range")
     )
-    # At most cuts + 1 rows, so the running sum over all of them is one small task.
+    # One row more than there are shuffle partitions at most, so the running sum over all of them is one small task.
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.select(
         F.col("_range").alias("_range_no"),

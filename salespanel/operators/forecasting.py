@@ -42,20 +42,20 @@ def backtest(
 
 def forecast(
     panel: DataFrame, specs: Sequence, horizon: int, models: dict | None = None,
-    holidays: DataFrame | None = None,
+    holidays: DataFrame | None = None, codes: DataFrame | None = None,
 ) -> DataFrame:
     """The months after the panel, per spec. Learned specs are fitted on the whole panel
-    unless ``models`` already has them by name."""
+    unless ``models`` already has them by name; ``codes`` are the segment codes of those."""
     fixed, fixed_no, learned, learned_no = split_specs(specs)
     out = linear_forecast(panel, fixed, horizon, None, fixed_no) if fixed else None
     if learned:
         models = dict(models or {})
         for spec in learned:
             if spec.name not in models:
-                models[spec.name] = fit_learned(panel, spec, holidays=holidays)
+                models[spec.name] = fit_learned(panel, spec, codes, holidays)
         part = learned_forecast(
             panel, {s.name: models[s.name] for s in learned},
-            {s.name: i for s, i in zip(learned, learned_no)}, horizon, holidays,
+            {s.name: i for s, i in zip(learned, learned_no)}, horizon, holidays, codes,
         )
         out = part if out is None else out.unionByName(part)
     return out

@@ -82,10 +82,11 @@ def fit(
 def predict(
     model: PipelineModel, rows: DataFrame, codes: DataFrame, holidays: DataFrame | None = None
 ) -> DataFrame:
-    """``rows`` with ``yhat`` on the original scale."""
-    return predict_rows(model, calendar_features(rows, codes, holidays)).select(
-        *rows.columns, "yhat"
-    )
+    """``rows`` with ``yhat`` on the original scale, NULL for a segment that has no code."""
+    features = calendar_features(rows, codes, holidays)
+    known = predict_rows(model, features.filter("segment_code IS NOT NULL")).select(*rows.columns, "yhat")
+    unseen = features.filter("segment_code IS NULL")
+    return known.unionByName(unseen.select(*rows.columns, F.lit(None).cast("double").alias("yhat")))
 
 
 def fold_tables(
@@ -116,11 +117,12 @@ def fold_forecast(train: DataFrame, test: DataFrame, spec, number: int, fold: in
 
 def learned_forecast(
     panel: DataFrame, models: dict[str, PipelineModel], numbers: dict[str, int], horizon: int,
-    holidays: DataFrame | None = None,
+    holidays: DataFrame | None = None, codes: DataFrame | None = None,
 ) -> DataFrame:
     """Forecasts of fitted models for the months after the panel, in the column layout of
-    :func:`linear_forecast`."""
-    codes, rows = segment_codes(panel), future_grid(panel, horizon)
+    :func:`linear_forecast`. ``codes`` are those the models were fitted with; without them
+    the panel must be the one they were fitted on."""
+    codes, rows = segment_codes(panel) if codes is None else codes, future_grid(panel, horizon)
     parts = [
         predict(model, rows, codes, holidays).select(
             F.lit(name).alias("model"), F.lit(numbers[name]).alias("candidate_no"),

@@ -23,28 +23,17 @@ def by_segment():
 
 def drop_zero_segments(
     df: DataFrame, null_is_nonzero: bool = True, key: str = "segment", value: str = "target",
-    salts: int = 32,
 ) -> DataFrame:
     """Keep rows of keys with any non-zero value; a missing value counts as non-zero
     unless ``null_is_nonzero=False``.
 
-    Rows keep their grain, so a hot key stays hot: the kept keys are copied ``salts``
-    times and the rows are spread over the copies by a hash of their content. Spark still
-    broadcasts the keys instead when it sees at run time that they are small.
+    Rows keep their grain, so a hot key stays hot; its side of the semi-join is one that
+    Spark can split at run time.
     """
     v = F.col(value)
     nonzero = (v != 0) | v.isNull() if null_is_nonzero else F.coalesce(v != 0, F.lit(False))
-    kept = (
-        df.filter(nonzero & F.col(key).isNotNull())
-        .select(F.col(key).alias("_key"))
-        .distinct()
-        .select("_key", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_copy"))
-    )
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts))
-    salted = df.withColumn("_salt", spread.cast("int"))
-    return salted.join(
-        kept, (salted[key] == kept["_key"]) & (salted["_salt"] == kept["_copy"]), "left_semi"
-    ).drop("_salt")
+    kept = df.filter(nonzero & F.col(key).isNotNull()).select(F.col(key).alias("_key")).distinct()
+    return df.join(kept, F.col(key) == F.col("_key"), "left_semi")
 
 
 def monthly_totals(

@@ -83,9 +83,13 @@ def pivot_months(
     months: Sequence[str] | None = None,
 ) -> DataFrame:
     """Months to columns, missing cells 0. Columns are the months, or ``{month}_{value}``
-    with several values."""
+    with several values. A row whose month is not among given ``months`` raises."""
     if months is None:
         months = sorted(r.month for r in long.select("month").distinct().collect())
+    else:
+        known = F.col("month").isNull() | F.col("month").isin(list(months))
+        unknown = F.raise_error(F.concat(F.lit("month not among the columns: "), F.col("month")))
+        long = long.withColumn("month", F.when(known, F.col("month")).otherwise(unknown.cast("string")))
     sums = [F.sum(v).alias(v) for v in values]
     return long.groupBy(*keys).pivot("month", list(months)).agg(*sums).fillna(0)
 

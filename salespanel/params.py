@@ -7,11 +7,6 @@ import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: Largest parameter table, in rows of a few numbers, that is broadcast.
-BROADCAST_ROWS = 100_000
-
 
 def _literal(value) -> str:
     if value is None:
@@ -19,17 +14,15 @@ def _literal(value) -> str:
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
     if isinstance(value, float):
-        return f"CAST({value!r} AS DOUBLE)"
+        return f"CAST('{value!r}' AS DOUBLE)"
     return str(value)
 
 
 def parameter_table(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str]) -> DataFrame:
-    """Driver-made rows as a table. The row count is known here, so the broadcast hint is
-    given only when it is small; beyond that Spark places the join."""
-    if len(rows) > BROADCAST_ROWS:
-        return spark.createDataFrame(list(rows), list(columns))
+    """Driver-made rows as a table of literals. Spark knows its size and places the join; the
+    types are those of the values, whatever the number of rows."""
     body = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)
-    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})"))
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
 
 
 def checkpoint_root(spark: SparkSession) -> str:

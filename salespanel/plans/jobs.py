@@ -27,6 +27,7 @@ from ..operators.evaluation import (
 )
 from ..operators.forecasting import backtest, forecast
 from ..operators.learned import fit as fit_learned
+from ..operators.learned import segment_codes
 from ..operators.panel import regularise
 from ..operators.report import combined_report
 from ..operators.specs import CANDIDATES
@@ -65,6 +66,12 @@ def _stored_panel(spark: SparkSession, panel_path: str, folder: str) -> DataFram
     return spark.read.parquet(folder)
 
 
+def _stored_codes(panel: DataFrame, folder: str) -> DataFrame:
+    """The segment codes that models are fitted with, kept beside them."""
+    segment_codes(panel).write.mode("overwrite").parquet(folder)
+    return panel.sparkSession.read.parquet(folder)
+
+
 def select_ensemble(
     panel: DataFrame, specs: Sequence, horizon: int, n_folds: int = 3, top_n: int = TOP_N,
     holidays: DataFrame | None = None, bt: DataFrame | None = None,
@@ -105,15 +112,16 @@ def refresh_job(
     table = weight_table(spark, weights)
     ensemble_bt = vote_backtest(bt, table)
     roll_up(metrics(ensemble_bt)).write.mode("overwrite").parquet(f"{out}/ensemble_scores")
+    codes = _stored_codes(panel, f"{out}/model/segment_codes")
     models = {
-        s.name: fit_learned(panel, s, holidays=holidays)
+        s.name: fit_learned(panel, s, codes, holidays)
         for s in chosen if not hasattr(s, "recurrence")
     }
     for name, model in models.items():
         save_model(model, f"{out}/model/learned/{name}")
     settings = {"horizon": horizon, "n_folds": n_folds, "quantiles": list(quantiles)}
     save_specs(spark, chosen, weights, settings, f"{out}/model/specs")
-    ahead = vote(forecast(panel, chosen, horizon, models, holidays), table)
+    ahead = vote(forecast(panel, chosen, horizon, models, holidays, codes), table)
     bounded = intervals(ahead, ensemble_bt, quantiles)
     write_forecast(_clipped(bounded, quantiles), f"{out}/forecast", layout, mode="overwrite")
     return weights
@@ -122,15 +130,17 @@ def refresh_job(
 def tune_job(
     spark: SparkSession, panel_path: str, out: str, horizon: int, n_trials: int = 100,
     n_folds: int = 5, seed: int = 42, space: dict = SPACE, prune: bool = True,
-    holidays: DataFrame | None = None,
+    holidays: DataFrame | None = None, parallelism: int = 1,
 ):
     """Search boosted-tree settings, refit the best on all data, store model and trials."""
     panel = _stored_panel(spark, panel_path, f"{out}/panel")
     best, trials = search(
-        panel, horizon, space, n_trials, n_folds, seed, prune, holidays=holidays
+        panel, horizon, space, n_trials, n_folds, seed, prune, holidays=holidays,
+        parallelism=parallelism,
     )
     trials.write.mode("overwrite").parquet(f"{out}/trials")
-    save_model(fit_learned(panel, best, holidays=holidays), f"{out}/model/learned/{best.name}")
+    codes = _stored_codes(panel, f"{out}/model/segment_codes")
+    save_model(fit_learned(panel, best, codes, holidays), f"{out}/model/learned/{best.name}")
     settings = {"horizon": horizon, "n_folds": 3, "quantiles": list(SINGLE_QUANTILES)}
     save_specs(spark, [best], {best.name: 1.0}, settings, f"{out}/model/specs")
     return best
@@ -144,7 +154,9 @@ def forecast_job(
     """Load what :func:`refresh_job` or :func:`tune_job` stored, forecast the given panel,
     write the forecast to ``{out}/forecast`` and return it as read back.
 
-    Interval widths come from a backtest on the given panel.
+    Interval widths come from a backtest on the given panel. Segments are coded as they were
+    when the models were fitted; a segment that is new gets its forecast from the members
+    that need no code, or NULL.
     """
     specs, weights, settings = load_specs(spark, f"{model_path}/specs")
     horizon, n_folds = settings["horizon"], settings["n_folds"]
@@ -155,7 +167,8 @@ def forecast_job(
         for s in specs if not hasattr(s, "recurrence")
     }
     table = weight_table(spark, weights)
-    ahead = vote(forecast(panel, specs, horizon, models, holidays), table)
+    codes = spark.read.parquet(f"{model_path}/segment_codes")
+    ahead = vote(forecast(panel, specs, horizon, models, holidays, codes), table)
     bt = vote_backtest(backtest(panel, specs, horizon, n_folds, holidays=holidays), table)
     bounded = intervals(ahead, bt, quantiles)
     write_forecast(_clipped(bounded, quantiles), f"{out}/forecast", layout, mode="overwrite")

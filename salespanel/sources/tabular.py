@@ -14,9 +14,14 @@ from ..functions import DAY_FIRST_FORMATS, PANDAS_NA, na_to_null, parse_number,
 def _text_csv(
     spark: SparkSession, path, sep: str, na_tokens: Sequence[str], multiline: bool
 ) -> DataFrame:
-    raw = spark.read.csv(
-        path, sep=sep, header=True, quote='"', escape='"', multiLine=multiline, encoding="UTF-8"
-    )
+    options = {
+        "sep": sep, "header": True, "quote": '"', "escape": '"', "multiLine": multiline,
+        "encoding": "UTF-8",
+    }
+    raw = spark.read.csv(path, **options)
+    if not any(re.fullmatch(r"_c\d+", c) for c in raw.columns):
+        # every file's header is compared with the columns; another order raises
+        raw = spark.read.schema(raw.schema).csv(path, **options, enforceSchema=False)
     # Spark calls a blank header `_cN`; the junk-column rule looks for `Unnamed: N`.
     return raw.select(
         *[
@@ -27,12 +32,14 @@ def _text_csv(
 
 
 def read_upload(
-    spark: SparkSession, path, na_tokens: Sequence[str] = PANDAS_NA, multiline: bool = False
+    spark: SparkSession, path, na_tokens: Sequence[str] = PANDAS_NA, multiline: bool = True
 ) -> DataFrame:
     """``|``-separated upload, every column as text, NA tokens as NULL.
 
-    Files are split across tasks. ``multiline=True`` also takes line breaks inside
-    quotes, but then one file is one task.
+    Line breaks inside quotes belong to the value, so a file is one task. With
+    ``multiline=False`` files are split across tasks; give it only where no value has a
+    line break. Files of one upload have the same columns in the same order, or reading
+    raises (files with unnamed columns are not compared).
     """
     return _text_csv(spark, path, "|", na_tokens, multiline)
 
@@ -43,6 +50,7 @@ def read_legacy(
     date_formats: Sequence[str] = DAY_FIRST_FORMATS,
     on_bad: str = "fail",
     na_tokens: Sequence[str] = PANDAS_NA,
+    multiline: bool = True,
 ) -> DataFrame:
     """Comma CSV ``Date, Department, Article, Sold, ...`` with day-first dates.
 
@@ -51,7 +59,7 @@ def read_legacy(
     """
     if on_bad not in ("fail", "null"):
         raise ValueError(f"on_bad must be 'fail' or 'null', not {on_bad!r}")
-    raw = _text_csv(spark, path, ",", na_tokens, False)
+    raw = _text_csv(spark, path, ",", na_tokens, multiline)
     ts = parse_ts("Date", date_formats)
     sold = parse_number("Sold")
     if on_bad == "fail":
@@ -75,7 +83,7 @@ def read_panel(spark: SparkSession, path, fmt: str = "parquet") -> DataFrame:
     if fmt == "parquet":
         df = spark.read.parquet(path)
     elif fmt == "csv":
-        df = _text_csv(spark, path, ",", PANDAS_NA, False)
+        df = _text_csv(spark, path, ",", PANDAS_NA, True)
     else:
         raise ValueError(f"fmt must be 'parquet' or 'csv', not {fmt!r}")
     casts = {"segment": "string", "timestamp": "timestamp_ntz", "target": "double"}

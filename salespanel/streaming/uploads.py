@@ -23,6 +23,8 @@ def upload_stream(
     raw = (
         spark.readStream.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
         .option("sep", "|").option("header", True).option("quote", '"').option("escape", '"')
+        .option("multiLine", True)
+        .option("enforceSchema", False)  # a file whose header differs raises
         .csv(directory)
     )
     text = raw.select(*[na_to_null(F.col(f"`{c}`"), PANDAS_NA).alias(c) for c in columns])

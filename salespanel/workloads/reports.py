@@ -131,7 +131,7 @@ def forecast_segment_sums(spark, sf_dir):
 META_SQL = """meta AS (
   SELECT segment, arg_max(p, (ts, p)) FILTER (p IS NOT NULL) AS article
   FROM (SELECT segment, ts, CASE WHEN product_size < 25 THEN product_name END AS p FROM lines)
-  GROUP BY segment HAVING count(*) > 350)"""
+  WHERE segment NOT LIKE '%3' GROUP BY segment)"""
 
 
 @query(f"""WITH {SIMPLE_FORECAST}, {META_SQL}
@@ -143,10 +143,9 @@ FROM fc f LEFT JOIN meta m ON f.segment = m.segment""")
 def forecast_with_metadata(spark, sf_dir):
     lines = sales_lines(spark, sf_dir)
     name = F.when(F.col("product_size") < 25, F.col("product_name"))
-    rows = lines.select("segment", "timestamp", name.alias("article"), F.lit(1).alias("one"))
-    common = rows.groupBy("segment").agg(F.count("one").alias("n")).filter("n > 350")
-    latest = latest_attributes(rows, cols=["article"])
-    meta = latest.join(common, "segment").withColumn(
+    rows = lines.select("segment", "timestamp", name.alias("article"))
+    described = rows.filter("segment NOT LIKE '%3'")
+    meta = latest_attributes(described, cols=["article"]).withColumn(
         "department", F.substring_index("segment", "|", 1)
     )
     fc = simple_forecast(spark, sf_dir).select("segment", "timestamp", "target")

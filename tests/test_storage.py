@@ -9,6 +9,7 @@ from salespanel.operators.panel import future_grid, regularise
 from salespanel.operators.specs import CLASSICAL, Boosted, Linear, Naive, SeasonalMA
 from salespanel.plans import forecast_job, refresh_job, report_job, tune_job, upload_job
 from salespanel.sources import (
+    read_upload,
     load_model,
     load_specs,
     read_forecast,
@@ -195,3 +196,36 @@ def test_upload_job_keeps_rejects(spark, tmp_path):
     upload_job(spark, str(path), str(tmp_path / "out"), "quarantine", str(tmp_path / "bad"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
     assert spark.read.option("header", True).csv(str(tmp_path / "bad")).first().article == "bad"
+
+
+def test_stored_codes_serve_a_changed_panel(spark, tmp_path, sales):
+    """A segment that is new, or gone, moves no code of the others."""
+    def rows(names, path):
+        months = {n: {t: 10.0 * (ord(n) - 64) for t in range(30)} for n in names}
+        panel = sales({f"{n}|x": v for n, v in months.items()})
+        panel.selectExpr("*", "split(segment, '[|]')[0] department").write.parquet(path)
+        return path
+
+    space = {"max_iter": ("int", 3, 3), "max_depth": ("int", 4, 4)}
+    first = rows("BCDEFG", str(tmp_path / "first"))
+    tune_job(spark, first, str(tmp_path / "m"), horizon=1, n_trials=1, n_folds=1, space=space)
+
+    def targets(path, out):
+        fc = forecast_job(spark, f"{tmp_path}/m/model", path, str(tmp_path / out))
+        return {r[0]: r[2] for r in long_rows(fc)}
+
+    same = targets(first, "o1")
+    more = targets(rows("ABCDEFG", str(tmp_path / "more")), "o2")
+    fewer = targets(rows("BDG", str(tmp_path / "fewer")), "o3")
+    assert all(more[s] == pytest.approx(same[s]) for s in same)
+    assert all(fewer[s] == pytest.approx(same[s]) for s in fewer) and len(fewer) == 3
+
+
+def test_upload_headers_and_line_breaks(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/1.csv").write_text('department|article|productProperties\nD|A|"{""k"": ""x\ny""}"\nD|B|"{}"\n')
+    got = read_upload(spark, str(tmp_path / "a"))
+    assert sorted(r.article for r in got.collect()) == ["A", "B"]
+    (tmp_path / "a/2.csv").write_text('article|department|productProperties\nE|D|"{}"\n')
+    with pytest.raises(Exception, match="(?i)header"):
+        read_upload(spark, str(tmp_path / "a")).collect()
