@@ -209,8 +209,8 @@ def _possible(apart: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     k (|x| + |y|) elements, which is at most |x| (1 - t) / t. So all but that many of x's
     differences are y's too; and if x is not linked with the leader, more than half of
     |differences of y| + k (|leader| - |y|) are shared. Of n differences of which s must be
-    shared, one is among the n - s + 1 rarest on either side. Lengths leave out pairs that
-    differ too much anyway."""
+    shared, one is among the n - s + 1 rarest on either side. Lengths and places leave out pairs
+    that differ too much anyway."""
     t = percent / 100
     k = (1 - t) / (1 + t)
     n = F.size("apart")
@@ -234,15 +234,19 @@ def _possible(apart: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         "left", F.col("head") - (F.col("n") - F.size("known"))
     ).filter("left > 0")
     index = heads.select(
-        "leader", "digest", "root", "size", "near", "n", F.explode(F.slice("known", 1, F.col("left"))).alias("e")
-    ).withColumn("element", F.col("e.element")).drop("e")
+        "leader", "digest", "root", "size", "near", "n", (F.col("n") - F.size("known")).alias("lone"),
+        F.posexplode(F.slice("known", 1, F.col("left"))).alias("p", "e"),
+    ).withColumns({"element": F.col("e.element"), "place": F.col("lone") + F.col("p")}).drop("e", "p", "lone")
     index = cut_lineage(index, "index")
-    one = index.filter("NOT near").select("leader", "element", *[F.col(c).alias(f"{c}1") for c in ("digest", "root", "size", "n")])
-    two = index.select("leader", "element", *[F.col(c).alias(f"{c}2") for c in ("digest", "root", "size", "n", "near")])
+    one = index.filter("NOT near").select("leader", "element", *[F.col(c).alias(f"{c}1") for c in ("digest", "root", "size", "n", "place")])
+    two = index.select("leader", "element", *[F.col(c).alias(f"{c}2") for c in ("digest", "root", "size", "n", "near", "place")])
     most = k * (F.col("size1") + F.col("size2")) + 1e-9
+    alike = (F.col("n1") + F.col("n2") - most) / 2  # so many differences are shared
     pairs = one.join(two, ["leader", "element"]).filter(
         (F.col("root1") != F.col("root2")) & (F.col("near2") | (F.col("digest1") < F.col("digest2")))
         & (F.abs(F.col("n1") - F.col("n2")) <= most)
+        # the rarest shared one has that many shared ones from it on
+        & (F.col("place1") <= F.col("n1") - alike) & (F.col("place2") <= F.col("n2") - alike)
     )
     return pairs.select(F.least("digest1", "digest2").alias("a"), F.greatest("digest1", "digest2").alias("b")).distinct()
 
