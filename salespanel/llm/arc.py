@@ -183,7 +183,7 @@ def _rows(texts) -> pa.RecordBatch:
 def _write(values: DataFrame, path: str, between: str, chunks: int) -> str:
     (
         values.write.option("lineSep", between).option("compression", "gzip")
-        .option("maxRecordsPerFile", chunks).option("zlib.compress.level", "BEST_SPEED").text(path)
+        .option("maxRecordsPerFile", chunks).text(path)
     )
     return path
 
