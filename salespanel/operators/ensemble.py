@@ -8,7 +8,7 @@ from statistics import NormalDist
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..params import parameter_table
+from ..params import cut_lineage, parameter_table
 from .evaluation import TOP_N, combined_score, inverse_weights, metrics, roll_up, top_models
 from .panel import by_segment
 from .recurrence import folds, linear_forecast
@@ -84,14 +84,14 @@ def recurrence_ensemble(
     panel: DataFrame, specs: Sequence, horizon: int, n_folds: int = 3, top_n: int = TOP_N,
     quantiles: Sequence[float] = ENSEMBLE_QUANTILES,
 ) -> DataFrame:
-    """Score all recurrence specs, vote the best and bound the vote, as one lazy query.
+    """Score all recurrence specs, vote the best and bound the vote.
 
-    Test months and the months ahead come out of the same pass over the panel, and the
-    residual spread is a window over a segment's (n_folds + 1) * horizon voted rows, so
-    nothing is shuffled by segment again. Columns as from :func:`intervals`.
+    Test months and the months ahead come out of one pass over the panel. The scores and the
+    vote both read these points, so they are stored. The residual spread is a window over a
+    segment's (n_folds + 1) * horizon voted rows. Columns as from :func:`intervals`.
     """
     ends = [*folds(n_folds, horizon), (n_folds, 0, 0)]
-    points = linear_forecast(panel, specs, horizon, ends)
+    points = cut_lineage(linear_forecast(panel, specs, horizon, ends), "points")
     scores = combined_score(roll_up(metrics(points)))
     voted = vote(points, inverse_weights(top_models(scores, top_n)))
     sigma = F.stddev_pop(F.col("actual") - F.col("yhat")).over(by_segment())

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..params import cut_lineage
 from .panel import by_segment
 
 DATE_FLAGS = ("month_number_in_year", "season_number", "year_number")
@@ -89,9 +90,10 @@ def dense_codes(keys: DataFrame, key: str, code: str) -> DataFrame:
     A hash-ordered sample of keys, one for each shuffle partition, splits the key space into
     ranges; keys are numbered inside their range and shifted by the sizes of the ranges
     before. The sample depends on the keys alone, so a recomputed task gives the same codes.
+    The distinct keys are stored first, so that `keys` is evaluated once.
     """
     cuts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = keys.filter(F.col(key).isNotNull()).select(key).distinct()
+    distinct = cut_lineage(keys.filter(F.col(key).isNotNull()).select(key).distinct(), "keys")
     sample = (
         distinct.orderBy(F.xxhash64(key), key).limit(cuts)
         .agg(F.array_sort(F.collect_list(key))).scalar()

@@ -38,15 +38,15 @@ HAS_FORECAST, HAS_MONTH = "_has_forecast", "_has_month"
 def trailing_days(df: DataFrame, ts: str = "timestamp", days: int = TRAILING_DAYS) -> DataFrame:
     """Rows from ``days`` days before the latest timestamp on, both ends included.
 
-    The latest timestamp is a scalar subquery over that one column; its result is a plain
-    value by the time the main scan starts, where it prunes row groups.
+    The cutoff is a scalar subquery over that one column, a plain value by the time the main
+    scan starts. It prunes row groups of a DATE or TIMESTAMP column; Spark does not push
+    conditions on TIMESTAMP_NTZ to Parquet.
     """
     return df.filter(F.col(ts) >= _cutoff(df, ts, days))
 
 
 def _cutoff(df: DataFrame, ts: str, days: int):
-    latest = df.agg(F.max(ts)).scalar()
-    return latest - F.expr(f"INTERVAL '{int(days)}' DAY")
+    return df.agg(F.max(ts) - F.expr(f"INTERVAL '{int(days)}' DAY")).scalar()
 
 
 def monthly_sum(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:

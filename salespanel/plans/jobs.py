@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.accuracy import accuracy_detail, accuracy_summary
 from ..operators.cleaning import clean_upload, rejected_rows
 from ..operators.ensemble import (
     ENSEMBLE_QUANTILES,
@@ -39,6 +40,7 @@ from ..sources import (
     load_specs,
     read_forecast,
     read_panel,
+    read_report,
     read_upload,
     save_model,
     save_specs,
@@ -179,9 +181,21 @@ def report_job(
     spark: SparkSession, panel_path: str, forecast_path: str, out: str,
     grain: str = "department", layout: str = "rows",
 ) -> DataFrame:
-    """Prepared panel and stored forecast to a combined report, as CSV in ``out``."""
+    """Prepared panel and stored forecast to a combined report, as CSV in ``out``; returned
+    as read back."""
     report = combined_report(
         read_panel(spark, panel_path), read_forecast(spark, forecast_path, layout), grain
     )
     write_report(report, out, mode="overwrite")
-    return report
+    return read_report(spark, out)
+
+
+def accuracy_job(
+    spark: SparkSession, report_path: str, out: str, variant: int = 1, language: str = "ru"
+) -> DataFrame:
+    """A stored department report to ``{out}/summary`` and, per row, ``{out}/detail`` (CSV).
+    Returns the summary as read back."""
+    report = read_report(spark, report_path)
+    accuracy_summary(report, variant).write.mode("overwrite").parquet(f"{out}/summary")
+    write_report(accuracy_detail(report, language=language), f"{out}/detail", mode="overwrite")
+    return spark.read.parquet(f"{out}/summary")

@@ -3,6 +3,7 @@ from .forecast_json import POINT_SCHEMA, nest_forecast, read_forecast, unnest_fo
 from .tabular import (
     read_legacy,
     read_panel,
+    read_report,
     read_upload,
     write_invalid,
     write_panel,
@@ -17,6 +18,7 @@ __all__ = [
     "read_forecast",
     "read_legacy",
     "read_panel",
+    "read_report",
     "read_upload",
     "save_model",
     "save_specs",

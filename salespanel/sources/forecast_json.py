@@ -23,12 +23,22 @@ LONG_COLUMNS = ("segment", "timestamp", "target", "target_lower", "target_upper"
 ARRAY_END = "\n  ],\n"
 
 
+def _long(fc: DataFrame) -> DataFrame:
+    """The long columns; a forecast without quantiles has NULL bounds."""
+    missing = F.lit(None).cast("double")
+    return fc.select(
+        *LONG_COLUMNS[:3],
+        *[F.col(c) if c in fc.columns else missing.alias(c) for c in LONG_COLUMNS[3:]],
+    )
+
+
 def nest_forecast(fc: DataFrame) -> DataFrame:
     """One row per segment: ``segment, points``. A segment has one point per horizon
-    step, so the array is bounded by the horizon."""
+    step, so the array is bounded by the horizon. Bounds that ``fc`` lacks are NULL."""
+    fc = _long(fc).withColumns({c: F.col(c).cast("double") for c in LONG_COLUMNS[2:]})
     point = F.struct(
         day_label("timestamp").alias("timestamp"),
-        *[F.col(c).cast("double").alias(c) for c in LONG_COLUMNS[2:]],
+        *LONG_COLUMNS[2:],
     )
     return fc.filter(F.col("segment").isNotNull()).groupBy("segment").agg(
         F.sort_array(F.collect_list(F.when(F.col("timestamp").isNotNull(), point))).alias("points")
@@ -51,7 +61,9 @@ def _json_text(c: Column) -> Column:
 
 
 def _object_lines(nested: DataFrame) -> DataFrame:
-    ends = nested.agg(F.struct(F.min("segment").alias("lo"), F.max("segment").alias("hi"))).scalar()
+    bounds = nested.agg(F.struct(F.min("segment").alias("lo"), F.max("segment").alias("hi")).alias("ends"))
+    ends = bounds.scalar()
+    nothing = bounds.filter("ends.lo IS NULL").select(F.lit("{\n}").alias("value"))
     points = F.array_join(
         F.transform("points", lambda p: F.to_json(p, {"ignoreNullFields": "false"})), ",\n    "
     )
@@ -69,6 +81,7 @@ def _object_lines(nested: DataFrame) -> DataFrame:
                 F.when(F.col("segment") == F.col("ends.hi"), F.lit("\n}")).otherwise(F.lit(",")),
             ).alias("value")
         )
+        .unionByName(nothing)
     )
 
 
@@ -76,7 +89,7 @@ def write_forecast(
     fc: DataFrame, path: str, layout: str = "rows", mode: str = "errorifexists"
 ) -> None:
     if layout == "long":
-        fc.select(*LONG_COLUMNS).write.mode(mode).parquet(path)
+        _long(fc).write.mode(mode).parquet(path)
     elif layout == "rows":
         nest_forecast(fc).write.mode(mode).option("ignoreNullFields", False).json(path)
     elif layout == "object":

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import DAY_FIRST_FORMATS, PANDAS_NA, na_to_null, parse_number, parse_ts, segment_key
 
+# The report's key columns.
+REPORT_KEYS = ("Департамент", "Артикул")
+
 
 def _text_csv(
     spark: SparkSession, path, sep: str, na_tokens: Sequence[str], multiline: bool
@@ -115,7 +118,20 @@ def write_panel(
 
 def write_report(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Report as CSV with a header in every part file. No byte-order mark is written."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).csv(path, header=True, escape='"', **keep)
+
+
+def read_report(spark: SparkSession, path) -> DataFrame:
+    """What :func:`write_report` stored: keys as text, which a report never lacks, so an empty
+    one is an empty text; figures as whole numbers. A figure that is none stops the job."""
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+    columns = spark.read.csv(path, **options).columns
+    fields = [f"`{c}` {'string' if c in REPORT_KEYS else 'bigint'}" for c in columns]
+    stored = spark.read.schema(", ".join(fields)).csv(
+        path, **options, enforceSchema=False, mode="FAILFAST"
+    )
+    return stored.fillna("", [c for c in columns if c in REPORT_KEYS])
 
 
 def write_invalid(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -6,19 +6,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.cleaning import rejected_rows
+from ..operators.accuracy import with_accuracy
+from ..operators.cleaning import rejected_rows, require_columns
 from ..operators.quality import invalid_targets
+from ..operators.report import ARTICLE, DEPARTMENT
 from ..operators.specs import CLASSICAL
 from ..operators.learned import fit, predict, segment_codes
 from ..operators.panel import future_grid
 from ..operators.specs import Linear
 from ..params import cut_lineage, work_dir
-from ..plans import forecast_job, refresh_job, report_job, upload_job
+from ..plans import accuracy_job, forecast_job, refresh_job, report_job, upload_job
 from ..sources import (
     load_model,
     read_forecast,
     read_legacy,
     read_panel,
+    read_report,
     read_upload,
     save_model,
     write_forecast,
@@ -66,6 +69,13 @@ def upload_read(spark, sf_dir):
     return read_upload(spark, path)
 
 
+@query("SELECT event_type AS department, count(*) AS n FROM events GROUP BY 1")
+def columns_required(spark, sf_dir):
+    rows = raw_uploads(spark, sf_dir)
+    require_columns(rows, ("department", "article", "productProperties"))
+    return rows.groupBy("department").agg(F.count("*").alias("n"))
+
+
 @query(UPLOADED)
 def upload_to_panel(spark, sf_dir):
     path = work_dir(spark, "upload")
@@ -265,3 +275,45 @@ def report_run(spark, sf_dir):
     lines = _stored_lines(spark, sf_dir, path)
     write_forecast(simple_forecast(spark, sf_dir), f"{path}/forecast")
     return report_job(spark, lines, f"{path}/forecast", f"{path}/report")
+
+
+def _stored_report(spark, sf_dir, path):
+    lines = _stored_lines(spark, sf_dir, path)
+    write_forecast(simple_forecast(spark, sf_dir), f"{path}/forecast")
+    report_job(spark, lines, f"{path}/forecast", f"{path}/report")
+    return f"{path}/report"
+
+
+A, B = "last_123_days_sum", "forecast_123_days_mean"
+RATED = f"""WITH {report_sql('department')}, rated AS (
+  SELECT *, CASE WHEN {A} = 0 AND {B} = 0 THEN NULL WHEN {A} = 0 OR {B} = 0 THEN 0
+    ELSE (1.0::DOUBLE - abs({A} - {B}) / greatest({A}, {B})) * 100 END AS p FROM report)"""
+
+
+@query(f"""{RATED}
+SELECT "{ARTICLE}", "{DEPARTMENT}", {A}, {B}, round(p, 4) AS accuracy_percent FROM rated""")
+def stored_report_rows(spark, sf_dir):
+    report = read_report(spark, _stored_report(spark, sf_dir, work_dir(spark, "run")))
+    return with_accuracy(report).select(
+        ARTICLE, DEPARTMENT, A, B, F.round("accuracy_percent", 4).alias("accuracy_percent")
+    )
+
+
+@query(f"""{RATED}
+SELECT count(*) AS total_items, count(*) FILTER ({A} = 0 AND {B} = 0) AS zero_zero_items,
+       count(*) FILTER ({B} <> 0) AS non_zero_forecast_items, count(p) AS valid_items,
+       round(coalesce(avg(p), 0), 4) AS avg_accuracy,
+       round(avg(p) FILTER ({B} <> 0), 4) AS avg_accuracy_non_zero_forecast FROM rated""")
+def stored_report_accuracy(spark, sf_dir):
+    path = work_dir(spark, "run")
+    rows = accuracy_job(spark, _stored_report(spark, sf_dir, path), f"{path}/accuracy")
+    return rows.withColumns({c: F.round(c, 4) for c in rows.columns if c.startswith("avg_")})
+
+
+@query(f"""WITH {SIMPLE_FORECAST}
+SELECT segment, ts AS "timestamp", round(target, 6) AS target,
+       CAST(NULL AS DOUBLE) AS target_lower, CAST(NULL AS DOUBLE) AS target_upper FROM fc""")
+def forecast_without_bounds(spark, sf_dir):
+    path = work_dir(spark, "forecast")
+    write_forecast(simple_forecast(spark, sf_dir).select("segment", "timestamp", "target"), path, "object")
+    return read_forecast(spark, path, "object").withColumn("target", F.round("target", 6))

@@ -9,6 +9,7 @@ from salespanel.operators.panel import future_grid, regularise
 from salespanel.operators.specs import CLASSICAL, Boosted, Linear, Naive, SeasonalMA
 from salespanel.plans import forecast_job, refresh_job, report_job, tune_job, upload_job
 from salespanel.sources import (
+    read_report,
     read_upload,
     load_model,
     load_specs,
@@ -16,6 +17,7 @@ from salespanel.sources import (
     save_model,
     save_specs,
     write_forecast,
+    write_report,
 )
 from salespanel.streaming import stream_monthly, stream_uploads
 
@@ -91,6 +93,31 @@ def test_forecast_round_trip(spark, tmp_path, layout):
         assert json.loads(text) == FORECAST and list(json.loads(text)) == sorted(FORECAST)
 
 
+def test_empty_object_is_an_object(spark, tmp_path):
+    none = spark.createDataFrame([], "segment string, timestamp timestamp_ntz, target double")
+    write_forecast(none, str(tmp_path / "out"), "object")
+    text = "".join(open(p, encoding="utf-8").read() for p in sorted(glob.glob(f"{tmp_path}/out/part-*")))
+    assert json.loads(text) == {}
+    assert read_forecast(spark, str(tmp_path / "out"), "object").count() == 0
+
+
+@pytest.mark.parametrize("layout", ["long", "rows", "object"])
+def test_forecast_without_bounds(spark, tmp_path, layout):
+    points = spark.sql("SELECT 'D|a' AS segment, TIMESTAMP_NTZ '2025-07-01' AS timestamp, 2.5D AS target")
+    write_forecast(points, str(tmp_path / "out"), layout)
+    back = read_forecast(spark, str(tmp_path / "out"), layout).collect()
+    assert [tuple(r)[2:] for r in back] == [(2.5, None, None)]
+
+
+def test_report_round_trip(spark, tmp_path):
+    rows = [(" a", 'x "1"', 3, 0), ("b\nc", "", 0, 12), ("07", "y,z", 1, 1)]
+    names = "`Департамент` string, `Артикул` string, `2024-01` bigint, `last_123_days_sum` bigint"
+    write_report(spark.createDataFrame(rows, names).repartition(2), str(tmp_path / "out"))
+    back = read_report(spark, str(tmp_path / "out"))
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    assert [t for _, t in back.dtypes] == ["string", "string", "bigint", "bigint"]
+
+
 def test_specs_round_trip(spark, tmp_path):
     specs = [SeasonalMA(2, 6), Boosted(max_iter=3, name="b"), Naive(12)]
     weights = {"seasonal_2_6": 0.5, "b": 0.3, "naive_12": 0.2}
