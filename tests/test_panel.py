@@ -123,7 +123,12 @@ def test_date_flags(spark, sales):
 def test_codes_are_dense_and_sorted(spark, cuts):
     keys = [f"k{i:04d}" for i in range(500)]
     df = spark.createDataFrame([(k,) for k in keys + keys[:100]] + [(None,)], "k string").repartition(5)
-    got = {r.k: r.code for r in dense_codes(df, "k", "code", cuts).collect()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", cuts)
+    try:
+        got = {r.k: r.code for r in dense_codes(df, "k", "code").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert got == {k: i for i, k in enumerate(keys)}
 
 
