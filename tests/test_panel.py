@@ -124,7 +124,7 @@ def test_codes_are_dense_and_sorted(spark, cuts):
     keys = [f"k{i:04d}" for i in range(500)]
     df = spark.createDataFrame([(k,) for k in keys + keys[:100]] + [(None,)], "k string").repartition(5)
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", cuts)
+    spark.conf.set("spark.sql.shuffle.partitions", str(cuts))
     try:
         got = {r.k: r.code for r in dense_codes(df, "k", "code").collect()}
     finally:
