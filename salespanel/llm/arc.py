@@ -11,8 +11,9 @@ refer to it and carry the HTTP header only.
 
 Files are written and read through Spark, so they can lie on anything Spark reads. A row of a
 file is a run of records of about a megabyte; a file holds at most `chunks` of them, which
-bounds what a task holds when it reads one. Texts are UTF-8, so an archive is a text file whose
-line separator is the record separator. Payloads cross the network once, when each record
+bounds what a task holds when it reads one. Blocks are bytes in any encoding; the writer of
+text files passes them on as they are, with the record separator as its line separator. A file
+is plain or gzip of any number of members, as legacy archives have one for each record. Payloads cross the network once, when each record
 learns from the table of digests what it is; equal payloads meet there as digests, summed
 before the shuffle, so a payload that a third of all records share is no hot spot.
 
@@ -40,12 +41,15 @@ from pyspark.sql.types import StructType
 from ..params import work_dir
 
 CHUNK = 1 << 20
+#: Bytes given to a decompressor at once; what it leaves of them is looked at again.
+FEED = 1 << 14
 # Field names of the two header line versions.
 FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length".split(),
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length".split(),
 }
 END_OF_RECORD = "\r\n\r\n"
+GZIP = b"\x1f\x8b"
 
 
 def base32_sha1(data: bytes) -> str:
@@ -84,12 +88,15 @@ def arc_version_block(version: int, date: str) -> str:
     return f"{name} 0.0.0.0 {date} text/plain 200 - - 0 pages.arc {len(body)}\n{body}"
 
 
-def arc_record(version: int, url: str, date: str, block: bytes) -> str:
+def arc_line(version: int, url: str, date: str, block: bytes) -> str:
     if version == 1:
-        line = f"{url} 0.0.0.0 {date} text/html {len(block)}"
-    else:
-        line = f"{url} 0.0.0.0 {date} text/html 200 {base32_sha1(block)} - 0 pages.arc {len(block)}"
-    return f"{line}\n{block.decode()}"
+        return f"{url} 0.0.0.0 {date} text/html {len(block)}\n"
+    return f"{url} 0.0.0.0 {date} text/html 200 {base32_sha1(block)} - 0 pages.arc {len(block)}\n"
+
+
+def arc_record(version: int, url: str, date: str, block: bytes) -> str:
+    """A record whose block is text."""
+    return arc_line(version, url, date, block) + block.decode()
 
 
 @dataclass
@@ -137,9 +144,9 @@ def record_id(file: str, offset: int, payload_sha1: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file}#{offset}#{payload_sha1}')}>"
 
 
-def warc_record(headers: dict[str, str], block: str) -> str:
+def warc_record(headers: dict[str, str], block: bytes) -> bytes:
     lines = "".join(f"{k}: {v}\r\n" for k, v in headers.items())
-    return f"WARC/1.0\r\n{lines}Content-Length: {len(block.encode())}\r\n\r\n{block}"
+    return f"WARC/1.0\r\n{lines}Content-Length: {len(block)}\r\n\r\n".encode() + block
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -163,10 +170,10 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = stop
 
 
-def _chunked(texts: Iterator[str], between: str, first: str) -> Iterator[str]:
+def _chunked(records: Iterator[bytes], between: bytes, first: bytes) -> Iterator[bytes]:
     """Runs of records of about a megabyte; a longer record is a run of its own."""
     run, size = [first], 0
-    for t in texts:
+    for t in records:
         if size and size + len(t) > CHUNK:
             yield between.join(run)
             run, size = [first], 0
@@ -176,13 +183,13 @@ def _chunked(texts: Iterator[str], between: str, first: str) -> Iterator[str]:
         yield between.join(run)
 
 
-def _rows(texts) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"value": pa.array(list(texts), pa.string())})
+def _rows(runs) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"value": pa.array(list(runs), pa.binary())})
 
 
 def _write(values: DataFrame, path: str, between: str, chunks: int) -> str:
     (
-        values.write.option("lineSep", between).option("compression", "gzip")
+        values.select(F.col("value").cast("string")).write.option("lineSep", between).option("compression", "gzip")
         .option("maxRecordsPerFile", chunks).text(path)
     )
     return path
@@ -197,21 +204,40 @@ def write_arc(pages: DataFrame, path: str, date: str = "20010203040506", chunks:
             ids, urls, pages = (batch.column(batch.schema.get_field_index(c)) for c in ("page_id", "url", "html"))
             n += 1
             version = 1 + n % 2
-            texts = (
-                arc_record(version, _url(urls[i].as_py()), date, http_message(ids[i].as_py(), (pages[i].as_py() or "").encode()))
+            records = (
+                arc_line(version, _url(urls[i].as_py()), date, block).encode() + block
                 for i in range(batch.num_rows)
+                for block in (http_message(ids[i].as_py(), pages[i].as_py() or b""),)
             )
-            for chunk in _chunked(texts, "\n", arc_version_block(version, date)):
+            for chunk in _chunked(records, b"\n", arc_version_block(version, date).encode()):
                 yield _rows([chunk])
 
-    return _write(pages.select("page_id", "url", "html").mapInArrow(run, "value string"), path, "\n", chunks)
+    made = pages.select("page_id", "url", F.col("html").cast("binary").alias("html")).mapInArrow(run, "value binary")
+    return _write(made, path, "\n", chunks)
 
 
 RECORD = "record_id string, warc_date string, url string, ip string, kind string, page_id long, payload_sha1 string, payload_bytes long"
 
 
-def _inflated(content: bytes) -> bytes:
-    return zlib.decompress(content, 47) if content[:2] == b"\x1f\x8b" else content
+def inflated(content: bytes) -> bytes:
+    """What a file holds: all its gzip members in order, or its bytes as they are."""
+    if not content.startswith(GZIP):
+        return content
+    view, at, out = memoryview(content), 0, []
+    while at < len(content):
+        if content[at] == 0 and not any(view[at:]):  # padding
+            break
+        start, member = at, zlib.decompressobj(31)
+        while not member.eof:
+            if at == len(content):
+                raise ValueError(f"the gzip member at byte {start} is cut off")
+            fed = view[at : at + FEED]
+            try:
+                out.append(member.decompress(fed))
+            except zlib.error as e:
+                raise ValueError(f"no readable gzip member at byte {start}: {e}") from e
+            at += len(fed) - len(member.unused_data)
+    return b"".join(out)
 
 
 def read_arc(spark: SparkSession, path: str, blocks: bool) -> DataFrame:
@@ -224,7 +250,7 @@ def read_arc(spark: SparkSession, path: str, blocks: bool) -> DataFrame:
             for file, content in zip(batch.column(0), batch.column(1)):
                 rows: list[tuple] = []
                 size, name = 0, file.as_py().rsplit("/", 1)[-1]
-                for r in parse_arc(_inflated(content.as_py())):
+                for r in parse_arc(inflated(content.as_py())):
                     url = r.fields["URL"]
                     if url.startswith("filedesc://"):
                         continue
@@ -285,18 +311,18 @@ def convert(spark: SparkSession, arc: str, warc: str, smallest: int = 0, chunks:
             {"WARC-Type": "warcinfo", "WARC-Date": "1970-01-01T00:00:00Z",
              "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, 'salespanel')}>",
              "Content-Type": "application/warc-fields"},
-            "software: salespanel\r\nformat: WARC File Format 1.0\r\n",
+            b"software: salespanel\r\nformat: WARC File Format 1.0\r\n",
         )
         for batch in batches:
             columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            texts = (_converted(dict(zip(names, (c[i].as_py() for c in columns)))) for i in range(batch.num_rows))
-            for chunk in _chunked(texts, END_OF_RECORD, info):
+            records = (_converted(dict(zip(names, (c[i].as_py() for c in columns)))) for i in range(batch.num_rows))
+            for chunk in _chunked(records, END_OF_RECORD.encode(), info):
                 yield _rows([chunk])
 
-    return _write(whole.select(*names).mapInArrow(run, "value string"), warc, END_OF_RECORD, chunks)
+    return _write(whole.select(*names).mapInArrow(run, "value binary"), warc, END_OF_RECORD, chunks)
 
 
-def _converted(r: dict) -> str:
+def _converted(r: dict) -> bytes:
     _, head, _ = split_http(r["block"])
     http = r["kind"] == "response"
     block = head if r["to"] else r["block"]
@@ -312,7 +338,7 @@ def _converted(r: dict) -> str:
             "WARC-Refers-To": r["to"]["record_id"], "WARC-Refers-To-Target-URI": r["to"]["url"],
             "WARC-Refers-To-Date": r["to"]["warc_date"],
         }
-    return warc_record(headers, block.decode())
+    return warc_record(headers, block)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -328,7 +354,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for fields, block in parse_warc(_inflated(content.as_py())):
+                for fields, block in parse_warc(inflated(content.as_py())):
                     kind = fields["warc-type"]
                     if kind == "warcinfo":
                         continue

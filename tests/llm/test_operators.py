@@ -1,3 +1,4 @@
+import gzip
 import random
 
 import numpy as np
@@ -204,6 +205,45 @@ def test_arc_versions():
         list(arc.parse_arc(data[:-1]))
 
 
+def per_record(version, date, urls, block):
+    """An archive as legacy crawlers wrote it: a gzip member for each record."""
+    records = [arc.arc_version_block(version, date).encode()]
+    records += [arc.arc_line(version, u, date, block).encode() + block + b"\n" for u in urls]
+    return b"".join(gzip.compress(r) for r in records)
+
+
+def test_inflated_reads_every_member():
+    date, block = "20010203040506", b"HTTP/1.1 200 OK\r\n\r\n" + random.Random(1).randbytes(3 * arc.FEED)
+    one, two = per_record(1, date, ["http://a/", "http://b c/"], block), per_record(2, date, ["http://d/"], b"raw\xff")
+    for data in (one + two, one + two + b"\0" * 9):
+        found = [(r.version, r.fields["URL"], r.block) for r in arc.parse_arc(arc.inflated(data)) if "filedesc" not in r.fields["URL"]]
+        assert found == [(1, "http://a/", block), (1, "http://b c/", block), (2, "http://d/", b"raw\xff")]
+    for bad in (one[:-1], one[: len(one) - 9], one + two[:15], one + b"more", one[:-5] + b"x" + one[-4:]):
+        with pytest.raises(ValueError):
+            arc.inflated(bad)
+    assert arc.inflated(b"plain") == b"plain" and arc.inflated(b"") == b""
+
+
+def test_legacy_archives_with_a_member_for_each_record(spark, tmp_path):
+    date, latin = "20010203040506", b"HTTP/1.0 200 OK\r\nContent-Type: text/html; charset=iso-8859-1\r\n\r\ncaf\xe9 \xff\x00"
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / "a.arc.gz").write_bytes(per_record(1, date, ["http://a/", "http://b/"], latin) + per_record(2, date, ["http://c/"], b"HTTP/1.0 200 OK\r\n\r\n\x89PNG"))
+    read = arc.read_arc(spark, f"{tmp_path}/arc", blocks=True)
+    assert sorted((r["url"], bytes(r["block"])[-4:]) for r in read.collect()) == [("http://a/", b"\xe9 \xff\x00"), ("http://b/", b"\xe9 \xff\x00"), ("http://c/", b"\x89PNG")]
+    back = arc.read_warc(spark, arc.convert(spark, f"{tmp_path}/arc", f"{tmp_path}/warc")).collect()
+    assert sorted(r["record_type"] for r in back) == ["response", "response", "revisit"] and all(r["intact"] for r in back)
+    stored = [r for f in sorted((tmp_path / "warc").glob("part-*")) for r in arc.parse_warc(arc.inflated(f.read_bytes()))]
+    assert sorted(b for h, b in stored if h["warc-type"] == "response") == [b"HTTP/1.0 200 OK\r\n\r\n\x89PNG", latin]
+    # a member for each record in the WARC as well
+    whole = b""
+    for h, b in stored:
+        headers = {k: v for k, v in h.items() if k != "content-length"}
+        whole += gzip.compress(arc.warc_record(headers, b) + arc.END_OF_RECORD.encode())
+    (tmp_path / "again").mkdir()
+    (tmp_path / "again" / "a.warc.gz").write_bytes(whole)
+    assert sorted(map(str, arc.read_warc(spark, f"{tmp_path}/again").collect())) == sorted(map(str, back))
+
+
 PAGE = """<html><head><title>T</title></head><body class="has-sidebar"><header><h1>Site</h1></header>
 <div class="cookie-notice">We use cookies a lot here</div><ul class=menu><li><a href=x>Home</a><li><a href=y>News</a></ul>
 <div id="content"><h1>My story &eacute;&nbsp;x</h1><p>One two three four <i>fi</i>ve.<p>Next para <a href="#">link</a> end<br>line two
