@@ -260,6 +260,44 @@ def test_main_text():
         assert subsequence.main_text(page, subsequence.Weights()) == text
 
 
+STORY = "<h1>A title of five words</h1><p>one two three four five six</p><p>seven eight nine ten eleven</p>"
+STORY_TEXT = "A title of five words\none two three four five six\nseven eight nine ten eleven"
+
+
+@pytest.mark.parametrize("wrapper", [
+    "div class='content has-sidebar'", "div class=no-sidebar", "div id=layoutWithBanner", "form method=post", "div class='promo-layout'", "div class=widget",
+])
+@pytest.mark.parametrize("tag", ["div", "article", "main"])
+def test_main_text_inside_a_named_wrapper(wrapper, tag):
+    page = f"<body><{wrapper}><div class=sidebar>buy now</div><{tag}>{STORY}</{tag}><div id=comments>very nice</div></{wrapper.split()[0]}></body>"
+    assert subsequence.main_text(page, subsequence.Weights()) == STORY_TEXT
+
+
+def test_main_text_keeps_half_telling_names_inside_a_text():
+    story = "<p>one two three four five</p>{}<p>six seven eight nine ten</p>"
+    for middle in ("<p class='related-work'>and more of it</p>", "<div class='promotion-history'>and more of it</div>"):
+        for tag in ("div", "article"):
+            page = f"<div class='site-header-image'>a picture here</div><{tag}>{story.format(middle)}</{tag}><div class='newsletter-teaser'>write to us now</div>"
+            assert subsequence.main_text(page, subsequence.Weights()) == "one two three four five\nand more of it\nsix seven eight nine ten"
+
+
+def test_main_text_leaves_comments_and_cards_that_outweigh_the_text():
+    weights = subsequence.Weights()
+    comments = "<p>a reader says a lot more than the text does</p>" * 9
+    assert subsequence.main_text(f"<div>{STORY}</div><section id=comments>{comments}</section>", weights) == STORY_TEXT
+    assert subsequence.main_text(f"<article>{STORY}<div class=comments>{comments}</div></article>", weights) == STORY_TEXT
+    assert subsequence.main_text(f"<article>{STORY}</article><div class=sidebar>{comments}</div>", weights) == STORY_TEXT
+    cards = "<div class='related-posts'>" + "<article><p>read this too</p></article>" * 3 + "</div>"
+    assert subsequence.main_text(f"<main>{STORY}</main>{cards}", weights) == STORY_TEXT
+    assert subsequence.main_text(f"<div>{STORY}</div>{cards}", weights) == STORY_TEXT
+
+
+def test_main_text_learns_the_weight_of_half_telling_names():
+    page = "<div>x</div><article><p>one two three four five</p><p class='related-work'>six seven eight nine</p></article>"
+    weights = subsequence.fit([page] * 20)
+    assert weights.marked > 0 and subsequence.main_text(page, weights).endswith("eight nine")
+
+
 def test_main_text_weights_find_held_out_articles(spark):
     draw = random.Random(2)
     def page(tag):
