@@ -1,17 +1,25 @@
 """Quality rules whose cutoffs are fixed by labelled holdouts, with a bound on the harm.
 
 Every rule is a score that is high for bad text and a cutoff above which a document goes. The
-cutoffs are chosen per stratum (language) from a grid, on documents whose label is known. For
-each cutoff the exact binomial test asks whether good documents are rejected more often than
-`risk` / rules. Cutoffs are tested from the mildest on and testing stops at the first that
-cannot be certified, so one level serves the whole sequence (fixed-sequence testing); the
-level is `error` / (rules x strata) (Bonferroni). With probability 1 - `error` no stratum loses
-more than `risk` of its good documents to all rules together. Among certified cutoffs the one
-with the best balance of bad and good documents rejected is taken; a rule that rejects no
-more than it costs, or a stratum with too few labels, gets no cutoff.
-
-The counts behind the tests are summed by Spark per (stratum, rule, grid step, label); a
-stratum's table has rules x steps x 2 rows however many documents it has.
+cutoffs are chosen per stratum (language) from a grid, on documents whose label is known, in
+two ways, and the one with the better balance of bad and good documents rejected is taken:
+
+* Together: the bad labels alone lay a path of ever stricter sets of cutoffs, one rule and step
+  at a time. For each set the exact binomial test asks whether all its rules together reject
+  good documents more often than `risk`. Good labels have no part in the path, so it is a
+  fixed sequence: testing stops at the first set that cannot be certified, and one level
+  serves the whole path. ln(level) / ln(1 - risk) good labels can be enough.
+* Rule by rule, where there are labels enough: cutoffs of each rule from the mildest on, at
+  `risk` / rules and level / rules.
+
+The level is `error` / strata (Bonferroni), and half of it for each way where both are tried.
+Strata with too few good labels for any test are not tested and not counted; the number of
+labels alone decides that. With probability 1 - `error` no stratum loses more than `risk` of
+its good documents to all rules together. Cutoffs that reject no more than they cost are not
+taken; a stratum with too few labels, or none, gets no cutoff.
+
+The counts behind the tests are summed by Spark: a stratum's tables have rules x steps rows and
+as many as the path has sets, however many documents it has.
 
 Nulls: a null text has no words and fails the base rule; a null stratum is a stratum; null
 labels and labels of unknown documents are left out. A document labelled twice counts as good
@@ -151,6 +159,59 @@ def certified_cutoff(good: np.ndarray, bad: np.ndarray, risk: float, level: floa
     return step
 
 
+def path_of(bad: np.ndarray) -> list[tuple[int, int]]:
+    """Moves (rule, new step) to ever stricter cutoffs, until all bad documents with a positive
+    score go; bad has counts per rule and step. A move goes to the next step that has any, of
+    the rule that catches most for the steps it goes down, now or further on."""
+    rules, size = bad.shape
+    left = [[int(x) for x in np.flatnonzero(bad[r]) if x] for r in range(rules)]
+    at, moves = [size] * rules, []
+
+    def rate(r: int) -> float:
+        steps = np.array(left[r][::-1])
+        return float((np.cumsum(bad[r][steps]) / (at[r] - steps)).max())
+
+    while any(left):
+        r = max((r for r in range(rules) if left[r]), key=rate)
+        at[r] = left[r].pop()
+        moves.append((r, at[r]))
+    return moves
+
+
+def places_on(moves: list[tuple[int, int]], rules: int, size: int) -> list[list[int]]:
+    """For each rule and step the first move that rejects it, or the number of moves."""
+    places = [[len(moves)] * size for _ in range(rules)]
+    for i, (r, step) in enumerate(moves):
+        places[r][step:] = [min(i, x) for x in places[r][step:]]
+    return places
+
+
+def certified_moves(good: np.ndarray, bad: np.ndarray, risk: float, level: float, price: float) -> tuple[int, float]:
+    """How many moves to make, and their balance; counts per move that rejects first, and last
+    of documents that no move rejects."""
+    n, best, made = int(good.sum()), 0.0, 0
+    lost, caught = np.cumsum(good), np.cumsum(bad)
+    for i in range(len(good) - 1):
+        if n == 0 or binomial_tail(int(lost[i]), n, risk) > level:
+            break
+        if (gain := caught[i] - price * lost[i]) > best:
+            best, made = gain, i + 1
+    return made, best
+
+
+def labels_needed(risk: float, level: float) -> int:
+    """The fewest good labels that can certify a cutoff: with none of them lost."""
+    return math.ceil(math.log(level) / math.log1p(-risk))
+
+
+def levels(n: int, limits: Risk, n_strata: int) -> tuple[float, float]:
+    """Levels of the path and of a single rule for a stratum with n good labels."""
+    level, rules = limits.error / n_strata, len(RULES)
+    if n < labels_needed(limits.risk / rules, level / 2 / rules):
+        return level, 0.0
+    return level / 2, level / 2 / rules
+
+
 def step_of(score, steps: int):
     """0 for a score of 0, otherwise the step that a positive score falls into."""
     return F.least(F.ceil(score * steps), F.lit(steps)).cast("int")
@@ -163,35 +224,71 @@ def calibrate(scored: DataFrame, labels: DataFrame, limits: Risk, key: str = "do
         labels.filter(F.col("quality").isNotNull())
         .groupBy(F.col(key).alias("key")).agg(F.max(F.col("quality")).alias("good"))
     )
-    steps = F.explode(
-        F.array(*[F.struct(F.lit(i).alias("rule"), step_of(F.col(r), limits.steps).alias("step")) for i, r in enumerate(RULES)])
-    )
-    counts = (
+    n_rules, size, price = len(RULES), limits.steps + 1, limits.price
+    at = [f"at_{r}" for r in RULES]
+    sums = [F.sum("n_good").alias("n_good"), F.sum("n_bad").alias("n_bad")]
+    joint = cut_lineage(
         scored.filter(~F.col("base_failed"))
-        .select(F.col(key).alias("key"), F.col(stratum).alias("stratum"), steps.alias("at"))
+        .select(F.col(key).alias("key"), F.col(stratum).alias("stratum"), *[step_of(F.col(r), limits.steps).alias(a) for r, a in zip(RULES, at)])
         .join(known, "key")
-        .groupBy("stratum", "at.rule", "at.step").agg(
-            F.sum(F.when(F.col("good") > 0, 1).otherwise(0)).alias("n_good"),
-            F.sum(F.when(F.col("good") > 0, 0).otherwise(1)).alias("n_bad"),
-        )
+        .withColumns({"n_good": F.when(F.col("good") > 0, 1).otherwise(0), "n_bad": F.when(F.col("good") > 0, 0).otherwise(1)})
+        .groupBy("stratum", *at).agg(*sums),
+        "quality-counts",
     )
-    strata = counts.select(F.col("stratum").alias("any")).distinct().agg(F.count("*").alias("strata"))
-    n_strata = max(1, strata.first()["strata"])
-    risk, level = limits.risk / len(RULES), limits.error / (len(RULES) * n_strata)
-    size, price = limits.steps + 1, limits.price
-
-    def cutoffs(table: pd.DataFrame) -> pd.DataFrame:
-        row = {"stratum": table["stratum"].iloc[0]}
-        for i, name in enumerate(RULES):
-            own = table[table["rule"] == i]
-            good, bad = np.zeros(size, np.int64), np.zeros(size, np.int64)
-            good[own["step"]], bad[own["step"]] = own["n_good"], own["n_bad"]
-            row[f"{name}_step"] = certified_cutoff(good, bad, risk, level, price)
-        return pd.DataFrame([row]).astype({f"{r}_step": "Int32" for r in RULES})
-
+    totals = joint.groupBy("stratum").agg(F.sum("n_good").alias("n"))
+    testable = totals.filter(F.col("n") >= labels_needed(limits.risk, limits.error)).agg(F.count("*").alias("strata"))
+    n_strata = max(1, testable.first()["strata"])
     kind = scored.schema[stratum].dataType.simpleString()
-    schema = f"stratum {kind}, " + ", ".join(f"{r}_step int" for r in RULES)
-    return counts.groupBy("stratum").applyInPandas(cutoffs, schema)
+    steps = F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), F.col(a).alias("step")) for i, a in enumerate(at)]))
+    counts = joint.select("stratum", "n_good", "n_bad", steps.alias("of")).groupBy("stratum", "of.rule", "of.step").agg(*sums)
+
+    def proposals(table: pd.DataFrame) -> pd.DataFrame:
+        good, bad = np.zeros((n_rules, size), np.int64), np.zeros((n_rules, size), np.int64)
+        good[table["rule"], table["step"]], bad[table["rule"], table["step"]] = table["n_good"], table["n_bad"]
+        moves, single = path_of(bad), levels(int(good[0].sum()), limits, n_strata)[1]
+        alone = [single and certified_cutoff(g, b, limits.risk / n_rules, single, price) or size for g, b in zip(good, bad)]
+        return pd.DataFrame([{
+            "stratum": table["stratum"].iloc[0], "move_rules": [r for r, _ in moves], "move_steps": [x for _, x in moves],
+            "places": places_on(moves, n_rules, size), "alone": alone,
+        }])
+
+    proposed = counts.groupBy("stratum").applyInPandas(
+        proposals, f"stratum {kind}, move_rules array<int>, move_steps array<int>, places array<array<int>>, alone array<int>"
+    )
+    proposed = cut_lineage(proposed, "quality-paths")
+    own = proposed.withColumnRenamed("stratum", "_of")
+    place = F.least(*[F.col("places")[i][F.col(a)] for i, a in enumerate(at)])
+    over = F.lit(False)
+    for i, a in enumerate(at):
+        over = over | (F.col(a) >= F.col("alone")[i])
+    along = (
+        joint.join(own, F.col("stratum").eqNullSafe(F.col("_of")))
+        .groupBy("stratum", place.alias("place"), over.alias("over")).agg(*sums)
+        .groupBy("stratum").agg(F.collect_list(F.struct("place", "over", "n_good", "n_bad")).alias("found"))
+        .join(own, F.col("stratum").eqNullSafe(F.col("_of"))).drop("_of", "places")
+    )
+
+    def cutoffs(batches):
+        for table in batches:
+            rows = []
+            for of, found, rules, to, alone in zip(*(table[c] for c in ("stratum", "found", "move_rules", "move_steps", "alone"))):
+                good, bad = np.zeros(len(rules) + 1, np.int64), np.zeros(len(rules) + 1, np.int64)
+                balance = 0.0
+                for f in found:
+                    good[f["place"]] += f["n_good"]
+                    bad[f["place"]] += f["n_bad"]
+                    balance += f["over"] * (f["n_bad"] - price * f["n_good"])
+                n = int(good.sum())
+                made, gain = certified_moves(good, bad, limits.risk, levels(n, limits, n_strata)[0], price)
+                chosen = [int(x) for x in alone] if balance > gain else [size] * n_rules
+                if balance <= gain:
+                    for r, step in zip(rules[:made], to[:made]):
+                        chosen[r] = int(step)
+                rows.append((of, *(x if x < size else None for x in chosen)))
+            names = ["stratum", *[f"{r}_step" for r in RULES]]
+            yield pd.DataFrame(rows, columns=names).astype({f"{r}_step": "Int32" for r in RULES})
+
+    return along.mapInPandas(cutoffs, f"stratum {kind}, " + ", ".join(f"{r}_step int" for r in RULES))
 
 
 def judged(scored: DataFrame, cutoffs: DataFrame, limits: Risk, stratum: str = "lang") -> DataFrame:

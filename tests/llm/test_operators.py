@@ -82,6 +82,44 @@ def test_quality_rules_end_to_end(spark):
     assert quality_rules.quality_decisions(docs, labels.limit(0)).filter("kept").count() == 6002
 
 
+def test_quality_path_is_nested_and_laid_by_bad_labels():
+    bad = np.zeros((2, 9), int)
+    bad[0, [0, 3, 8]], bad[1, [2, 7]] = (50, 6, 4), (9, 1)
+    moves = quality_rules.path_of(bad)
+    assert sorted(moves) == [(0, 3), (0, 8), (1, 2), (1, 7)] and moves[0] == (0, 8)
+    places = quality_rules.places_on(moves, 2, 9)
+    for r in (0, 1):
+        for step in range(9):
+            first = [i for i, (rule, to) in enumerate(moves) if rule == r and to <= step]
+            assert places[r][step] == (first[0] if first else 4)
+    assert quality_rules.path_of(np.zeros((5, 65), int)) == []
+    many = np.zeros((2, 65), int)
+    many[0, 2:26], many[1, 43] = 2, 1  # one bad document far up does not come first
+    assert [r for r, _ in quality_rules.path_of(many)] == [0] * 24 + [1]
+
+
+def test_quality_path_certifies_all_rules_together():
+    good, bad = np.array([0, 0, 7, 293]), np.array([20, 9, 1, 3])
+    assert quality_rules.certified_moves(good, bad, 0.02, 0.0125, 20) == (2, 29)
+    assert quality_rules.certified_moves(good // 2, bad, 0.02, 0.0125, 20) == (0, 0.0)  # 149 labels are too few
+    assert quality_rules.labels_needed(0.02, 0.0125) == 217 and quality_rules.labels_needed(0.004, 0.0025) == 1495
+
+
+def test_quality_rules_with_a_few_hundred_labels(spark):
+    clean, junk = " ".join(f"word{i}" for i in range(60)), " ".join(f"w{i}###" for i in range(60))
+    made, labels = [], []
+    for lang, n in (("en", 2000), ("fr", 300), ("es", 230), ("pt", 100), (None, 260)):
+        for i in range(n + 40):
+            d = len(made)
+            made.append((d, junk if i >= n else clean + f" v{i}", lang))
+            labels.append((d, int(i < n)))
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string")
+    found = quality_rules.quality_decisions(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    gone = {r["lang"]: r["count"] for r in found.filter("not kept").groupBy("lang").count().collect()}
+    assert gone == {"en": 40, "fr": 40, "es": 40, None: 40}
+    assert found.filter("not kept and n_symbols = 0").count() == 0
+
+
 def test_passages(docs, corpus):
     found = rows(sketch_dedup.removal(docs), "doc_id", "n_words", "n_removed", "kept_sha256")
     assert found == sorted(brute.passages(corpus, 35), key=str)
