@@ -22,7 +22,7 @@ from ..operators.evaluation import (
 from ..operators.forecasting import backtest, forecast
 from ..operators.learned import learned_forecast
 from ..operators.recurrence import linear_forecast
-from ..operators.specs import CLASSICAL, Boosted, Linear, Naive, SeasonalMA
+from ..operators.specs import BOOSTED, CLASSICAL, Linear, Naive, SeasonalMA
 from ..operators.tuning import refit, search
 from ..params import cut_lineage
 from .registry import Registry
@@ -223,19 +223,16 @@ def clipped_forecast(spark, sf_dir):
 
 
 # Trained models have no SQL twin; these are checked by property tests.
-SMALL_BOOSTED = Boosted(max_iter=3, max_depth=3, step_size=0.3, name="boosted_small")
-
-
 @query()
 def boosted_forecast(spark, sf_dir):
     panel = cut_lineage(sales_panel(spark, sf_dir))
-    return forecast(panel, [SMALL_BOOSTED], HORIZON)
+    return forecast(panel, BOOSTED, HORIZON)
 
 
 @query()
 def boosted_backtest(spark, sf_dir):
     panel = cut_lineage(sales_panel(spark, sf_dir))
-    return backtest(panel, [SMALL_BOOSTED], HORIZON, n_folds=2)
+    return backtest(panel, BOOSTED, HORIZON)
 
 
 @query()

@@ -239,3 +239,17 @@ def test_median_rule_keeps_the_better_half():
     specs = [Boosted(name=n) for n in "abcd"]
     kept = keep_below_median(specs, {"a": 1.0, "b": 2.0, "c": 3.0, "d": 4.0})
     assert [s.name for s in kept] == ["a", "b"]
+
+
+def test_boosted_queries_take_all_candidates(monkeypatch):
+    from salespanel.operators.specs import BOOSTED
+    from salespanel.workloads import forecasts
+
+    taken = []
+    monkeypatch.setattr(forecasts, "sales_panel", lambda *a: None)
+    monkeypatch.setattr(forecasts, "cut_lineage", lambda df: df)
+    monkeypatch.setattr(forecasts, "forecast", lambda panel, specs, horizon: taken.append((tuple(specs), {})))
+    monkeypatch.setattr(forecasts, "backtest", lambda panel, specs, horizon, **more: taken.append((tuple(specs), more)))
+    forecasts.boosted_forecast(None, "")
+    forecasts.boosted_backtest(None, "")
+    assert taken == [(BOOSTED, {}), (BOOSTED, {})]  # and the default number of folds
