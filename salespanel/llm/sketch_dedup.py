@@ -38,7 +38,6 @@ CELL_BITS = 19  # cells in each row of a block
 CELLS = 1 << CELL_BITS
 CELLS_PER_ANCHOR = 12  # a lone anchor looks repeated once in two thousand times
 FLUSH = 1_000_000  # anchors that a task gathers before it hands them on
-ASKED = np.dtype([("hash", "<u8"), ("key", "<i8"), ("lo", "<i4"), ("more", "u1")])
 
 
 @dataclass(frozen=True)
@@ -48,6 +47,13 @@ class Passage:
     window: int = 35
     gram: int = 10
 
+    @property
+    def asked(self) -> np.dtype:
+        """An anchor as it is kept. `more`, the windows after the first of its run, is at most
+        `window` - `gram`."""
+        more = "u1" if self.window - self.gram < 256 else "<i4"
+        return np.dtype([("hash", "<u8"), ("key", "<i8"), ("lo", "<i4"), ("more", more)])
+
 
 def _cells(hashes: np.ndarray) -> list[np.ndarray]:
     """A hash's cells in the rows, one row after the other."""
@@ -65,11 +71,11 @@ def _anchors(batch: pa.RecordBatch, like: Passage) -> np.ndarray:
     """Hash, key and windows of every anchor in a batch of (text, key)."""
     texts = [t.encode() for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
     keys = batch.column(batch.schema.get_field_index("key")).to_numpy()
-    out = [np.empty(0, ASKED)]
+    out = [np.empty(0, like.asked)]
     for at, part in slices(texts):
         words = Words(part)
         text, lo, hi, _, hashes = anchor_runs(words.grams(like.gram), words.first, like.gram, like.window)
-        found = np.empty(len(text), ASKED)
+        found = np.empty(len(text), like.asked)
         found["hash"], found["key"], found["lo"], found["more"] = hashes, keys[at + text], lo, hi - lo
         out.append(found)
     return np.concatenate(out)
@@ -148,9 +154,9 @@ def estimated(docs: DataFrame, like: Passage, merged: DataFrame, blocks: int) ->
 
     def answer(parts: pa.Table, own: pa.Table) -> pa.Table:
         bits = np.unpackbits(np.frombuffer(own.column("bits")[0].as_py(), np.uint8)) if own.num_rows else None
-        out = [np.empty(0, ASKED)]
+        out = [np.empty(0, like.asked)]
         for part, known in zip(parts.column("part"), parts.column("known")):
-            found = np.frombuffer(part.as_py(), ASKED)
+            found = np.frombuffer(part.as_py(), like.asked)
             if not known.as_py():
                 found = found[np.all([bits[c] for c in _cells(found["hash"])], axis=0)]
             out.append(found)

@@ -126,6 +126,18 @@ def test_passages(docs, corpus):
     assert sketch_dedup.remove_repeats(docs).columns == docs.columns
 
 
+def test_passages_of_long_windows(spark):
+    """An anchor that more than 256 windows share."""
+    draw = random.Random(4)
+    shared = [f"p{draw.randrange(10**6)}" for _ in range(900)]
+    made = [(i, " ".join([f"d{i}.{j}" for j in range(50)] + shared + [f"e{i}.{j}" for j in range(50)])) for i in range(8)]
+    made += [(20 + i, " ".join(f"x{i}.{j}" for j in range(700))) for i in range(4)]
+    frame = spark.createDataFrame(made, "doc_id long, text string")
+    for window in (265, 266, 300, 600):
+        found = rows(sketch_dedup.removal(frame, sketch_dedup.Passage(window=window)), "doc_id", "n_words", "n_removed", "kept_sha256")
+        assert found == sorted(brute.passages(made, window), key=str), window
+
+
 def test_strings(docs, corpus, monkeypatch):
     want = sorted(brute.strings(corpus, 400), key=str)
     columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
