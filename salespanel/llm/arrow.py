@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -10,13 +10,28 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
+PART_BYTES = 4 << 20  # of a batch that are worked on, and handed on, at a time
+
+
+def parts(batch: pa.RecordBatch, most: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, in order, as batches of at most `most` bytes or one row. Batches are
+    cut by rows where they come from, so one of long texts may hold hundreds of megabytes."""
+    if batch.num_rows < 2 or batch.nbytes <= most:
+        if batch.num_rows:
+            yield batch
+        return
+    half = batch.num_rows // 2
+    yield from parts(batch.slice(0, half), most)
+    yield from parts(batch.slice(half), most)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType) -> DataFrame:
-    """`fn` on every batch; it is called once for a batch and keeps nothing between them."""
+    """`fn` on every batch, by parts of bounded size; it keeps nothing between them."""
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+            for part in parts(batch):
+                yield fn(part)
 
     return df.mapInArrow(run, schema)
 
