@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..workloads.registry import Registry
-from . import arc, automaton, licenses, quality_rules, ring, sketch_dedup, subsequence, suffix, temperature, tensored
+from . import (
+    arc, automaton, jacobi, licenses, multi_index, periods, quality_rules, ring, sketch_dedup, subsequence, suffix,
+    temperature, tensored,
+)
 
 query = Registry()
 
@@ -68,6 +71,21 @@ def op10_ring_shards(spark, sf_dir):
     return ring.shard_documents(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op11_jacobi_davidson(spark, sf_dir):
+    return jacobi.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op12_periodic_runs(spark, sf_dir):
+    return periods.periodic_runs(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_multi_index(spark, sf_dir):
+    return multi_index.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def all_queries() -> dict:
     return dict(query.queries)
 
