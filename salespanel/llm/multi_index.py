@@ -281,6 +281,8 @@ def search(entries: DataFrame, queries: DataFrame, dim: int, books: Books, like:
                     if not asks[lo]:
                         held.append((cell[lo:hi], ids[lo:hi], x[lo:hi]))
                         continue
+                    if ready is None and not held:
+                        continue  # a part of a split cell to which no entry was dealt
                     if ready is None:
                         ready = dict(zip(("cell", "id", "x"), map(np.concatenate, zip(*held))))
                         held = []
