@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
-PART_BYTES = 4 << 20  # of a batch that are worked on, and handed on, at a time
+PART_BYTES = 2 << 20  # of a batch that are worked on, and handed on, at a time
 
 
 def parts(batch: pa.RecordBatch, most: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
@@ -25,6 +27,16 @@ def parts(batch: pa.RecordBatch, most: int = PART_BYTES) -> Iterator[pa.RecordBa
     yield from parts(batch.slice(half), most)
 
 
+def hand_back() -> None:
+    """Free memory goes back to the system: a worker that waits for its next task would keep
+    what the last one took, beside the memory of the executor itself."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType) -> DataFrame:
     """`fn` on every batch, by parts of bounded size; it keeps nothing between them."""
 
@@ -32,10 +44,18 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
         for batch in batches:
             for part in parts(batch):
                 yield fn(part)
+            del batch
+        hand_back()
 
     return df.mapInArrow(run, schema)
 
 
+def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with columns under names that no operator uses, and these names by column."""
+    names = {c: f"_held_{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def with_columns(
     df: DataFrame, fn: Callable[[pa.RecordBatch], dict], added: str, without: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import with_columns
+from .arrow import set_aside, with_columns
 
 #: A-Z to lower case, other ASCII that is no letter or digit to a space, the rest as it is.
 FOLD = bytes(
@@ -194,15 +194,15 @@ def _merged(spans):
 
 
 def contaminated_spans(
-    docs: DataFrame, benchmark: DataFrame, span: int = 10, block_words: int = 200_000
+    docs: DataFrame, benchmark: DataFrame, span: int = 10, block_words: int = 200_000, text: str = "text"
 ) -> DataFrame:
     """The documents with `words`, `spans` (word numbers, ends exclusive) and `items`."""
     blocks = item_blocks(benchmark, block_words)
-    out = matched(docs, next(blocks), span)
+    out = matched(docs, next(blocks), span, text)
     for block in blocks:
         again = out.withColumnsRenamed({"spans": "spans0", "items": "items0"})
         out = (
-            matched(again, block, span)
+            matched(again, block, span, text)
             .withColumn("spans", F.concat("spans0", "spans"))
             .withColumn("spans", F.when(F.size("spans") > 0, _merged(F.sort_array("spans"))).otherwise(F.col("spans")))
             .withColumn("items", F.array_sort(F.array_union("items0", "items")))
@@ -244,20 +244,20 @@ def decontaminate(
 ) -> DataFrame:
     """The documents without the spans that windows cover. A document that is covered to more
     than `most_covered` of its words goes as a whole. `n_chars`, if there, is counted anew."""
-    columns = docs.columns
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("held_row"), F.col("text").alias("text"))
-    found = contaminated_spans(held, benchmark, span)
+    held, names = set_aside(docs)
+    text = names["text"]
+    found = contaminated_spans(held, benchmark, span, text=text)
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["hi"] - s["lo"])
     kept = found.filter((n_hit == 0) | (n_hit <= most_covered * F.col("words")))
 
     def one(batch: pa.RecordBatch) -> dict:
-        texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+        texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
         spans = batch.column(batch.schema.get_field_index("spans")).to_pylist()
         return {"cut": [_cut(t, s) if s else t for t, s in zip(texts, spans)]}
 
-    done = with_columns(kept.drop("items", "words"), one, "cut string", ("text", "spans"))
+    done = with_columns(kept.drop("items", "words"), one, "cut string", (text, "spans"))
     fields = {"text": F.col("cut"), "n_chars": F.when(F.col("cut").isNotNull(), F.char_length("cut"))}
     return done.select(*[
-        (fields[c].cast(docs.schema[c].dataType) if c in fields else F.col("held_row")[c]).alias(c)
-        for c in columns
+        (fields[c].cast(docs.schema[c].dataType) if c in fields else F.col(held)).alias(c)
+        for c, held in names.items()
     ])

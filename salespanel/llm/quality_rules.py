@@ -38,7 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import cut_lineage
-from .arrow import with_columns
+from .arrow import set_aside, with_columns
+from .repeats import thinned
 
 SYMBOLS = "#*$%&|<>"
 SPAN = 8
@@ -304,18 +305,24 @@ def judged(scored: DataFrame, cutoffs: DataFrame, limits: Risk, stratum: str = "
     )
 
 
+def quality_cutoffs(docs: DataFrame, labels: DataFrame, limits: Risk = Risk()) -> DataFrame:
+    """The cutoffs of every labelled stratum, as a stored table. A filter of fixed size picks
+    the labelled texts (and a few more, which find no label), so that no text is shuffled."""
+    wanted = labels.filter("quality is not null").select("doc_id")
+    labelled = thinned(docs.select("doc_id", "lang", "text"), wanted, "doc_id")
+    return cut_lineage(calibrate(measured(labelled), labels, limits), "quality-cutoffs")
+
+
 def quality_decisions(docs: DataFrame, labels: DataFrame, limits: Risk = Risk()) -> DataFrame:
     """The documents with counts, scores, base_failed and kept. Texts are measured twice: the
     labelled ones to find the cutoffs, then all, so that nothing has to be stored."""
-    labelled = docs.join(labels.filter("quality is not null").select("doc_id").distinct(), "doc_id", "left_semi")
-    slim = measured(labelled.select("doc_id", "lang", "text"))
-    cutoffs = cut_lineage(calibrate(slim, labels, limits), "quality-cutoffs")
-    return judged(measured(docs), cutoffs, limits)
+    return judged(measured(docs), quality_cutoffs(docs, labels, limits), limits)
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame, limits: Risk = Risk()) -> DataFrame:
-    """The documents that are kept, with their columns as they came. Documents whose columns are
-    called like a measure keep them: they are set aside under a struct meanwhile."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    held = docs.select(F.struct(*columns).alias("held_row"), "doc_id", "lang", "text")
-    return quality_decisions(held, labels, limits).filter("kept").select("held_row.*")
+    """The documents that are kept, with their columns as they came. Columns have other names
+    meanwhile, as some may be called like a measure."""
+    held, names = set_aside(docs)
+    scored = measured(held.withColumn("lang", F.col(names["lang"])), names["text"], ())
+    kept = judged(scored, quality_cutoffs(docs, labels, limits), limits).filter("kept")
+    return kept.select(*[F.col(held).alias(c) for c, held in names.items()])
