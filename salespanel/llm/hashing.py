@@ -2,8 +2,8 @@
 
 A byte is looked up in a table of random numbers; a run has the sum of its numbers times powers
 of an odd base, modulo 2^64, which prefix sums give for every run in a few array operations.
-Hashes are the same in every process. They propose; where equality decides a result, texts or
-128-bit digests do.
+Words of more than 64 bytes have a digest instead. Hashes are the same in every process. They
+propose; where equality decides a result, texts or 128-bit digests do.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
+LONG_WORD = 64  # bytes
 SLICE = 1 << 20  # bytes of text that are worked on at a time; a longer text is on its own
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -87,6 +88,10 @@ class Words:
         self.first = np.searchsorted(self.starts, begins)
         self.text = np.repeat(np.arange(len(texts)), np.diff(self.first))
         self.hashes = Runs(self.buffer).of(self.starts, self.ends)
+        # Sums modulo 2^64 meet for some long words under every base, so these have a digest.
+        for i in np.flatnonzero(self.ends - self.starts > LONG_WORD):
+            word = self.buffer[self.starts[i] : self.ends[i]].tobytes()
+            self.hashes[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
     def grams(self, n: int) -> np.ndarray:
         """Hash of the n words from each word on, over the ends of texts too."""

@@ -7,7 +7,7 @@ own; the sketches are merged, block by block, into counts that are never too sma
 of fixed size and their number follows the input, so the sketch is as sharp on a large table
 as on a small one and no task holds more than a block. A second pass asks the merged blocks
 about its anchors; only windows whose anchor is estimated to occur twice are grouped exactly,
-by 128-bit hashes of their words, each distinct text once with its number of copies. No
+by 128-bit digests of their words, each distinct text once with its number of copies. No
 repeated window is lost: all its occurrences have the same anchor, which is counted twice.
 
 An anchor that a partition has seen twice itself need not be asked about and is not sent, so
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import cut_lineage
-from .arrow import to_columns, with_columns
+from .arrow import hand_back, parts, to_columns, with_columns
 from .hashing import Words, anchor_runs, mixed, slices
 from .repeats import by_key, digest_of, keyed, suspects
 
@@ -84,7 +84,7 @@ def _anchors(batch: pa.RecordBatch, like: Passage) -> np.ndarray:
 def _gathered(batches, like: Passage):
     """Anchors of several batches, up to FLUSH or a bit more at a time."""
     held, size = [], 0
-    for batch in batches:
+    for batch in (part for whole in batches for part in parts(whole)):
         found = _anchors(batch, like)
         held.append(found)
         size += len(found)
@@ -93,6 +93,8 @@ def _gathered(batches, like: Passage):
             held, size = [], 0
     if size:
         yield np.concatenate(held)
+    held.clear()
+    hand_back()
 
 
 def _split(order: np.ndarray, block: np.ndarray):
@@ -178,32 +180,40 @@ def _dealt(found: np.ndarray, blocks: int) -> np.ndarray:
 
 
 def _windows(texts: DataFrame, like: Passage) -> DataFrame:
-    """one, two (hash of a suspected window), digest, start, copies."""
+    """one, two (the halves of a digest of a suspected window's words), digest, start, copies."""
 
     def one(batch: pa.RecordBatch) -> dict:
         column = {n: batch.column(batch.schema.get_field_index(n)) for n in ("digest", "copies", "text", "runs")}
         raw = [t.encode() for t in column["text"].to_pylist()]
         digests, copies = column["digest"].to_pylist(), column["copies"].to_pylist()
         out = {"one": [], "two": [], "digest": [], "start": [], "copies": []}
-        for at, part in slices(raw):
-            words = Words(part)
-            first = words.grams(like.window)
-            words.hashes = mixed(words.hashes ^ np.uint64(0x5851F42D4C957F2D))
-            second = words.grams(like.window)
-            for i, (lo, hi) in enumerate(zip(words.first[:-1], words.first[1:])):
-                starts = run_starts(column["runs"][at + i].as_py(), int(hi - lo) - like.window + 1)
-                out["one"].append(first[lo + starts])
-                out["two"].append(second[lo + starts])
-                out["start"].append(starts)
-                out["digest"] += [digests[at + i]] * len(starts)
-                out["copies"] += [copies[at + i]] * len(starts)
-        for name, kind in (("one", np.uint64), ("two", np.uint64), ("start", np.int64)):
-            out[name] = np.concatenate([np.empty(0, kind), *out[name]])
-        return out | {"one": out["one"].view(np.int64), "two": out["two"].view(np.int64)}
+        for i, text in enumerate(raw):
+            words = text.split()
+            starts = run_starts(column["runs"][i].as_py(), len(words) - like.window + 1)
+            stamps = np.frombuffer(_stamps(words, starts, like.window), np.int64).reshape(-1, 2)
+            out["one"].append(stamps[:, 0])
+            out["two"].append(stamps[:, 1])
+            out["start"].append(starts)
+            out["digest"] += [digests[i]] * len(starts)
+            out["copies"] += [copies[i]] * len(starts)
+        for name in ("one", "two", "start"):
+            out[name] = np.concatenate([np.empty(0, np.int64), *out[name]])
+        return out
 
     return to_columns(texts, one, "one long, two long, digest binary, start long, copies long")
 
 
+def _stamps(words: list[bytes], starts: np.ndarray, window: int) -> bytes:
+    """16 bytes for each window: a digest of its words, which have no spaces, joined by one."""
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    begins = (ends - [len(w) + 1 for w in words])[starts].tolist()
+    return b"".join(
+        hashlib.blake2b(joined[lo:hi], digest_size=16).digest()
+        for lo, hi in zip(begins, (ends[starts + window - 1] - 1).tolist())
+    )
+
+
 def run_starts(runs: list[dict], end: int) -> np.ndarray:
     """The window starts in some runs, each once, in order, and below `end`."""
     if end <= 0 or not runs:
