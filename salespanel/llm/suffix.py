@@ -4,9 +4,10 @@ A window is `window` consecutive bytes of one document. Equal windows share thei
 least of the `gram`-byte hashes inside. Runs of windows whose anchor occurs more than once are
 cut into pieces by how far the anchor lies inside (steps of `step`); the bytes that all windows
 of such a piece have in common, hashed with the anchor, name its group, so that equal windows
-are in one group. Groups are dealt to shards. A shard's distinct pieces are joined, each under
-an end mark of its own, a piece that is found more than once twice; the suffix array and the
-permuted common prefixes of the shard then say which windows start a second time.
+are in one group. A piece that is found more than once is repeated as a whole, and if it is the
+only one of its group there is nothing left to ask. All other groups are dealt to shards. A
+shard's distinct pieces are joined, each once and under an end mark of its own; the suffix array
+and the permuted common prefixes of the shard then say which windows start a second time.
 
 Shards are made as many as their bytes ask for, so no task sorts more than a few megabytes.
 A group with very many different pieces (a common passage a little shorter than a window, with
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..params import cut_lineage
@@ -139,26 +140,22 @@ def _piece_columns(names: np.ndarray, rows: list[tuple]) -> dict:
 
 
 def _shared(pieces: DataFrame) -> DataFrame:
-    """group, piece, found (how often), first (one place of it) in groups with two or more."""
+    """group, piece, found (how often), first (one place of it), kinds (different pieces of the
+    group) in groups with two or more."""
     different = pieces.groupBy("group", "piece").agg(
         F.sum("copies").alias("found"), F.min(F.struct("digest", "lo", "hi")).alias("first")
     )
-    several = pieces.groupBy("group").agg(F.sum("copies").alias("n")).filter("n > 1").select("group")
-    return different.join(several, "group")
+    several = different.groupBy("group").agg(F.sum("found").alias("n"), F.count("*").alias("kinds"))
+    return different.join(several.filter("n > 1").drop("n"), "group")
 
 
-def _repeated_starts(bodies: list[bytes], twice: list[bool], window: int) -> list[np.ndarray]:
+def _repeated_starts(bodies: list[bytes], window: int) -> list[np.ndarray]:
     """For each piece, the starts of its windows that start a second time among the pieces."""
     parts, places, at = [], [], 0
-    marks = len(bodies) + sum(twice)
-    mark = 0
-    for body, again in zip(bodies, twice):
+    for mark, body in enumerate(bodies):
         places.append(at)
-        symbols = np.frombuffer(body, np.uint8).astype(np.int64) + marks
-        for _ in range(1 + again):
-            parts += [symbols, np.array([mark])]
-            mark += 1
-            at += len(body) + 1
+        parts += [np.frombuffer(body, np.uint8).astype(np.int64) + len(bodies), np.array([mark])]
+        at += len(body) + 1
     joined = np.concatenate(parts)
     used = np.flatnonzero(np.bincount(joined))
     rank = np.empty(used[-1] + 1, np.int64)
@@ -182,10 +179,16 @@ def _as_runs(starts: np.ndarray) -> list[dict]:
     ]
 
 
+def _whole(piece: Column) -> Column:
+    """All windows of a piece, as one run."""
+    return F.array(F.struct(F.lit(0).alias("lo"), (piece["hi"] - piece["lo"]).cast("int").alias("hi")))
+
+
 def _sorted_shards(shared: DataFrame, texts: DataFrame, like: Strings) -> DataFrame:
     """group, piece, again: the runs of window starts in a piece that are repeated."""
-    weight = (F.col("first.hi") - F.col("first.lo") + like.window) * F.least("found", F.lit(2))
-    size = shared.agg(F.sum(weight)).first()[0] or 0
+    alone = shared.filter("kinds = 1").select("group", "piece", _whole(F.col("first")).alias("again"))
+    shared = shared.filter("kinds > 1")
+    size = shared.agg(F.sum(F.col("first.hi") - F.col("first.lo") + like.window)).first()[0] or 0
     shards = int(np.ceil(size / SHARD_BYTES)) or 1
     here = shared.select(
         F.col("first.digest").alias("digest"),
@@ -202,7 +205,10 @@ def _sorted_shards(shared: DataFrame, texts: DataFrame, like: Strings) -> DataFr
 
     def sort(shard: pa.Table) -> pa.Table:
         bodies, twice = shard.column("body").to_pylist(), shard.column("twice").to_pylist()
-        again = [_as_runs(x) for x in _repeated_starts(bodies, twice, like.window)]
+        again = [
+            [{"lo": 0, "hi": len(b) - like.window}] if whole else _as_runs(x)
+            for b, whole, x in zip(bodies, twice, _repeated_starts(bodies, like.window))
+        ]
         kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
         return pa.table({"group": shard.column("group"), "piece": shard.column("piece"), "again": pa.array(again, kind)})
 
@@ -210,9 +216,8 @@ def _sorted_shards(shared: DataFrame, texts: DataFrame, like: Strings) -> DataFr
         texts.join(here, "digest").select("text", "of"), cut,
         "shard long, group long, piece binary, twice boolean, body binary",
     )
-    return bodies.groupBy("shard").applyInArrow(
-        sort, "group long, piece binary, again array<struct<lo:int,hi:int>>"
-    )
+    made = bodies.groupBy("shard").applyInArrow(sort, "group long, piece binary, again array<struct<lo:int,hi:int>>")
+    return made.unionByName(alone)
 
 
 def repeated_strings(docs: DataFrame, like: Strings) -> tuple[DataFrame, DataFrame]:
