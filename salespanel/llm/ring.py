@@ -8,9 +8,10 @@ at most one row (law `rows`), and most rows stay where the plain ring puts them.
 
 Rows of one arc are interchangeable but for their rank, so the walk needs counts per arc
 only: shards x vnodes numbers, whatever the table holds. They are the only thing that comes
-to the driver. Rows are ranked inside (arc, part), `part` being a hash of the whole row, so
-that an arc with one hot key is ranked by many tasks; offsets of the parts make the ranks of
-the arc. Built-in functions only.
+to the driver. Rows are ranked by a hash of the whole row inside (arc, part), `part` being a
+range of this hash, so that an arc with one hot key is ranked by many tasks; offsets of the
+parts make the ranks of the arc, which are the order of the hashes whatever the settings of the
+session. Built-in functions only.
 
 Nulls: a row with a null key is placed by the hash of its other columns. Repeated rows each
 get a slot of their own. An empty table gives an empty result. Columns of the input that are
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from ..params import cut_lineage
 
 RING_BITS, CELL_BITS = 31, 8
+PART_BITS = 8  # parts of an arc, as many on any cluster
 
 
 def ring(shards: int, vnodes: int, seed: int = 0) -> list[tuple[int, int]]:
@@ -89,14 +91,13 @@ def place_on_ring(rows: DataFrame, key: str, shards: int = 8, vnodes: int = 64,
     spark = rows.sparkSession
     columns = [c for c in rows.columns if c not in ("law", "shard", "slot")]
     places = ring(shards, vnodes, seed)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     whole = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
     at = F.xxhash64(F.lit(seed), F.col(f"`{key}`"))
     at = F.when(F.col(f"`{key}`").isNull(), whole).otherwise(at)
     dealt = rows.select(
         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
         _arc(F.shiftrightunsigned(at, 64 - RING_BITS), places).alias("arc"),
-        F.pmod(F.shiftright(whole, 7), F.lit(parts)).cast("int").alias("part"),
+        F.shiftright(whole, 64 - PART_BITS).cast("int").alias("part"),
         whole.alias("hash"),
     )
     counts = cut_lineage(dealt.groupBy("arc", "part").agg(F.count("*").alias("n")), "ring-counts")

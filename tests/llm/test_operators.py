@@ -459,3 +459,47 @@ def test_stages_keep_columns(spark, tmp_path):
         assert n == 4 or out.columns == frame.columns
     ids = [r["doc_id"] for r in out.collect()]
     assert set(ids) == set(range(40)) - {1}  # the copy, the empty ones and the benchmark's text are gone
+
+
+def swapped(n):
+    """Two words of 2^n letters, each the other with its letters swapped (Thue and Morse)."""
+    x, y = "a", "b"
+    for _ in range(n):
+        x, y = x + y, y + x
+    return x, y
+
+
+def test_long_words_that_sums_cannot_tell_apart(spark):
+    from salespanel.llm.hashing import Runs, Words
+    x, y = swapped(12)
+    found = Words([x.encode(), y.encode()])
+    sums = Runs(found.buffer).of(found.starts, found.ends)
+    assert sums[0] == sums[1] and found.hashes[0] != found.hashes[1]
+    rest = [f"w{i}" for i in range(40)]
+    texts = [(1, " ".join(rest[:20] + [x] + rest[20:])), (2, " ".join(rest[:20] + [y] + rest[20:]))]
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in sketch_dedup.removal(table).collect()}
+    assert got == {1: 0, 2: 0}
+    near = tensored.near_duplicates(table, tensored.Likeness(words=3, percent=95)).collect()
+    assert {r.doc_id: r.component_id for r in near} == {1: 1, 2: 2}
+
+
+def test_places_on_the_ring_do_not_depend_on_the_session(spark, docs):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    for n in ("8", "13"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append(rows(ring.shard_documents(docs), "doc_id", "shard", "slot"))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+    from salespanel.llm.arrow import parts
+    texts = ["x" * n for n in (10, 5_000, 1, 70_000, 0, 300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(6))], ["text", "n"])
+    cut = list(parts(batch, 6_000))
+    assert [t for p in cut for t in p.column(0).to_pylist()] == texts
+    assert len(cut) > 2 and all(p.num_rows == 1 or p.nbytes <= 6_000 for p in cut)
+    assert list(parts(batch.slice(0, 0))) == []
