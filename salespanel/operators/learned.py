@@ -1,4 +1,4 @@
-"""Models that learn one function over all segments from calendar features.
+"""Models that learn one function over all segments from calendar features and attributes.
 
 No lag feature is used, so a forecast needs only the date and the segment, and any
 number of steps is predicted directly. Training runs on Spark ML, which sums tree
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import cut_lineage
+from .attributes import Attributes, attributes_as_of, category_sums, ordered_means, with_means
 from .features import add_date_flags, add_holiday, dense_codes, impute_seasonal, log_target, unlog
 from .panel import future_grid
 from .specs import Boosted
@@ -26,6 +27,11 @@ FEATURES = (
 )
 
 
+def mean_columns(attributes: Attributes | None) -> list[str]:
+    """The features that attributes become: the mean target of their categories."""
+    return [f"mean_{c}" for c in attributes.columns] if attributes else []
+
+
 def calendar_features(rows: DataFrame, codes: DataFrame, holidays: DataFrame | None) -> DataFrame:
     rows = add_date_flags(rows)
     if holidays is None:
@@ -51,17 +57,43 @@ def _estimator(spec):
     )
 
 
+def known_rows(panel: DataFrame, attributes: Attributes | None = None) -> DataFrame:
+    """The months with an observed or imputed target ``y``, with the attributes as of them.
+    Others say nothing about the target."""
+    known = impute_seasonal(log_target(panel, out_col="y"), column="y").filter("y IS NOT NULL")
+    return attributes_as_of(known, attributes.changes, attributes.columns) if attributes else known
+
+
 def training_rows(
-    panel: DataFrame, codes: DataFrame, holidays: DataFrame | None = None
+    panel: DataFrame, codes: DataFrame, holidays: DataFrame | None = None,
+    attributes: Attributes | None = None, known: DataFrame | None = None,
 ) -> DataFrame:
-    """``y`` and the features. Rows with no observed or imputed target are left out; they
-    say nothing about the target."""
-    known = impute_seasonal(log_target(panel, out_col="y"), column="y").filter("y IS NOT NULL")
-    return calendar_features(known, codes, holidays).select("y", *FEATURES)
+    """``y`` and the features; ``known`` is what :func:`known_rows` gave, if there already."""
+    known = known_rows(panel, attributes) if known is None else known
+    rows = calendar_features(known, codes, holidays)
+    for c, mean in zip(attributes.columns if attributes else (), mean_columns(attributes)):
+        rows = ordered_means(rows, c, mean, weight=attributes.weight)
+    return rows.select("y", *FEATURES, *mean_columns(attributes))
+
+
+def attribute_sums(panel: DataFrame, attributes: Attributes | None) -> DataFrame | None:
+    """What forecasts after the panel need of its targets, per attribute and category."""
+    return category_sums(known_rows(panel, attributes), attributes.columns) if attributes else None
+
+
+def with_attributes(rows: DataFrame, attributes: Attributes | None, sums: DataFrame | None) -> DataFrame:
+    """``rows`` later than those of ``sums``, with the attributes as of them and their means."""
+    if not attributes:
+        return rows
+    rows = attributes_as_of(rows, attributes.changes, attributes.columns)
+    for c, mean in zip(attributes.columns, mean_columns(attributes)):
+        rows = with_means(rows, sums, c, mean, attributes.weight)
+    return rows
 
 
 def fit_rows(rows: DataFrame, spec) -> PipelineModel:
-    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+    inputs = [c for c in rows.columns if c != "y"]
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     return Pipeline(stages=[assembler, _estimator(spec)]).fit(rows)
 
 
@@ -72,28 +104,32 @@ def predict_rows(model: PipelineModel, features: DataFrame) -> DataFrame:
 
 
 def fit(
-    panel: DataFrame, spec, codes: DataFrame | None = None, holidays: DataFrame | None = None
+    panel: DataFrame, spec, codes: DataFrame | None = None, holidays: DataFrame | None = None,
+    attributes: Attributes | None = None,
 ) -> PipelineModel:
     """Fit one spec on the whole panel."""
     codes = segment_codes(panel) if codes is None else codes
-    return fit_rows(training_rows(panel, codes, holidays), spec)
+    return fit_rows(training_rows(panel, codes, holidays, attributes), spec)
 
 
 def predict(
-    model: PipelineModel, rows: DataFrame, codes: DataFrame, holidays: DataFrame | None = None
+    model: PipelineModel, rows: DataFrame, codes: DataFrame, holidays: DataFrame | None = None,
+    attributes: Attributes | None = None, sums: DataFrame | None = None,
 ) -> DataFrame:
-    """``rows`` with ``yhat`` on the original scale, NULL for a segment that has no code."""
-    features = calendar_features(rows, codes, holidays)
+    """``rows`` with ``yhat`` on the original scale, NULL for a segment that has no code.
+    ``sums`` are the :func:`attribute_sums` of the panel the model was fitted on."""
+    features = with_attributes(calendar_features(rows, codes, holidays), attributes, sums)
     known = predict_rows(model, features.filter("segment_code IS NOT NULL")).select(*rows.columns, "yhat")
     unseen = features.filter("segment_code IS NULL")
     return known.unionByName(unseen.select(*rows.columns, F.lit(None).cast("double").alias("yhat")))
 
 
 def fold_tables(
-    panel: DataFrame, codes: DataFrame, horizon: int, end, holidays: DataFrame | None = None
+    panel: DataFrame, codes: DataFrame, horizon: int, end, holidays: DataFrame | None = None,
+    attributes: Attributes | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Training and test rows of one fold with their features, stored once for however
-    many models are fitted on them."""
+    many models are fitted on them. Attributes are those known when the training ends."""
     _, train_end, train_start = end
     train = panel.filter((F.col("from_end") >= train_end) & (F.col("t_idx") >= train_start))
     test = panel.filter(
@@ -102,9 +138,14 @@ def fold_tables(
         "segment", "timestamp", F.col("target").alias("actual"),
         (F.lit(train_end) - F.col("from_end")).alias("h"),
     )
+    known = sums = None
+    if attributes:
+        attributes = attributes.until(train.agg(F.max("timestamp")).first()[0])
+        known = cut_lineage(known_rows(train, attributes), "known")
+        sums = cut_lineage(category_sums(known, attributes.columns), "attribute-sums")
     return (
-        cut_lineage(training_rows(train, codes, holidays), "train"),
-        cut_lineage(calendar_features(test, codes, holidays), "test"),
+        cut_lineage(training_rows(train, codes, holidays, attributes, known), "train"),
+        cut_lineage(with_attributes(calendar_features(test, codes, holidays), attributes, sums), "test"),
     )
 
 
@@ -118,13 +159,15 @@ def fold_forecast(train: DataFrame, test: DataFrame, spec, number: int, fold: in
 def learned_forecast(
     panel: DataFrame, models: dict[str, PipelineModel], numbers: dict[str, int], horizon: int,
     holidays: DataFrame | None = None, codes: DataFrame | None = None,
+    attributes: Attributes | None = None, sums: DataFrame | None = None,
 ) -> DataFrame:
     """Forecasts of fitted models for the months after the panel, in the column layout of
     :func:`linear_forecast`. ``codes`` are those the models were fitted with; without them
     the panel must be the one they were fitted on."""
     codes, rows = segment_codes(panel) if codes is None else codes, future_grid(panel, horizon)
+    sums = attribute_sums(panel, attributes) if sums is None else sums
     parts = [
-        predict(model, rows, codes, holidays).select(
+        predict(model, rows, codes, holidays, attributes, sums).select(
             F.lit(name).alias("model"), F.lit(numbers[name]).alias("candidate_no"),
             F.lit(0).alias("fold"), "segment", "h", "timestamp",
             F.lit(None).cast("double").alias("actual"), "yhat",
@@ -139,12 +182,12 @@ def learned_forecast(
 
 def learned_backtest(
     panel: DataFrame, specs: Sequence, numbers: Sequence[int], horizon: int, ends,
-    holidays: DataFrame | None = None,
+    holidays: DataFrame | None = None, attributes: Attributes | None = None,
 ) -> DataFrame:
     """Fit each spec once per fold (an action per fit) and forecast its test months."""
     codes, out = cut_lineage(segment_codes(panel), "segment-codes"), None
     for end in ends:
-        train, test = fold_tables(panel, codes, horizon, end, holidays)
+        train, test = fold_tables(panel, codes, horizon, end, holidays, attributes)
         for spec, number in zip(specs, numbers):
             part = fold_forecast(train, test, spec, number, end[0])
             out = part if out is None else out.unionByName(part)

@@ -6,8 +6,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.accuracy import accuracy_detail, accuracy_summary
+from ..operators.attributes import Attributes
 from ..operators.cleaning import clean_upload, rejected_rows
 from ..operators.ensemble import (
     ENSEMBLE_QUANTILES,
@@ -27,14 +29,21 @@ from ..operators.evaluation import (
     top_models,
 )
 from ..operators.forecasting import backtest, forecast
+from ..operators.learned import attribute_sums, segment_codes
 from ..operators.learned import fit as fit_learned
-from ..operators.learned import segment_codes
 from ..operators.panel import regularise
 from ..operators.report import combined_report
 from ..operators.specs import CANDIDATES
-from ..operators.summary import clip_quantiles
+from ..operators.summary import (
+    attach_meta,
+    clip_quantiles,
+    forecast_summary,
+    latest_attributes,
+    quantile_totals,
+)
 from ..operators.tuning import SPACE, search
 from ..functions import clip0_fill
+from ..params import cut_lineage
 from ..sources import (
     load_model,
     load_specs,
@@ -74,6 +83,40 @@ def _stored_codes(panel: DataFrame, folder: str) -> DataFrame:
     return panel.sparkSession.read.parquet(folder)
 
 
+def _stored_attributes(
+    spark: SparkSession, panel_path: str, columns: Sequence[str], folder: str
+) -> Attributes | None:
+    """The values of some columns of the raw rows over time, one row per segment and time."""
+    if not columns:
+        return None
+    rows = read_panel(spark, panel_path)
+    changes = rows.groupBy("segment", "timestamp").agg(*[F.max(f"`{c}`").alias(c) for c in columns])
+    changes.write.mode("overwrite").parquet(folder)
+    return Attributes(spark.read.parquet(folder), tuple(columns))
+
+
+def _described(
+    spark: SparkSession, panel_path: str, columns: Sequence[str], folder: str
+) -> DataFrame | None:
+    """``segment, department, article``: the latest value of the two columns per segment."""
+    if not columns:
+        return None
+    department, article = columns
+    meta = latest_attributes(read_panel(spark, panel_path), cols=[department, article])
+    meta.select(
+        "segment", F.col(f"`{department}`").alias("department"), F.col(f"`{article}`").alias("article")
+    ).write.mode("overwrite").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def _write_summaries(bounded: DataFrame, meta: DataFrame | None, out: str) -> None:
+    """Sums per department and article, and of every quantile. Without metadata the two are
+    the parts of the segment."""
+    described = bounded if meta is None else attach_meta(bounded, meta)
+    forecast_summary(described, ordered=False).write.mode("overwrite").parquet(f"{out}/summary")
+    quantile_totals(described).write.mode("overwrite").parquet(f"{out}/quantile_totals")
+
+
 def select_ensemble(
     panel: DataFrame, specs: Sequence, horizon: int, n_folds: int = 3, top_n: int = TOP_N,
     holidays: DataFrame | None = None, bt: DataFrame | None = None,
@@ -97,17 +140,23 @@ def _clipped(with_bounds: DataFrame, quantiles) -> DataFrame:
 def refresh_job(
     spark: SparkSession, panel_path: str, out: str, horizon: int, specs: Sequence = CANDIDATES,
     n_folds: int = 3, top_n: int = TOP_N, quantiles: Sequence[float] = ENSEMBLE_QUANTILES,
-    holidays: DataFrame | None = None, layout: str = "rows",
+    holidays: DataFrame | None = None, layout: str = "rows", attributes: Sequence[str] = (),
+    metadata: Sequence[str] = (),
 ) -> dict[str, float]:
     """Backtest all candidates, keep the best, store the ensemble and its forecast.
 
-    Under ``out``: ``panel``, ``backtest``, ``scores``, ``model`` (specs and fitted
-    learned models), ``ensemble_scores`` and ``forecast``. Returns the weights.
+    Under ``out``: ``panel``, ``backtest``, ``scores``, ``model`` (specs, fitted learned models
+    and what they need), ``ensemble_scores``, ``forecast``, ``summary`` (per department and
+    article) and ``quantile_totals``. Returns the weights. ``attributes`` are columns of the
+    panel table that learned models use, as known at the time. ``metadata`` names the two
+    columns that say a segment's department and article in the summary; the latest values count.
     """
     panel = _stored_panel(spark, panel_path, f"{out}/panel")
-    backtest(panel, specs, horizon, n_folds, holidays=holidays).write.mode("overwrite").parquet(
-        f"{out}/backtest"
-    )
+    known = _stored_attributes(spark, panel_path, attributes, f"{out}/attributes")
+    meta = _described(spark, panel_path, metadata, f"{out}/metadata")
+    backtest(panel, specs, horizon, n_folds, holidays=holidays, attributes=known).write.mode(
+        "overwrite"
+    ).parquet(f"{out}/backtest")
     bt = spark.read.parquet(f"{out}/backtest")
     combined_score(roll_up(metrics(bt))).write.mode("overwrite").parquet(f"{out}/scores")
     chosen, weights, _ = select_ensemble(panel, specs, horizon, n_folds, top_n, bt=bt)
@@ -116,16 +165,24 @@ def refresh_job(
     roll_up(metrics(ensemble_bt)).write.mode("overwrite").parquet(f"{out}/ensemble_scores")
     codes = _stored_codes(panel, f"{out}/model/segment_codes")
     models = {
-        s.name: fit_learned(panel, s, codes, holidays)
+        s.name: fit_learned(panel, s, codes, holidays, known)
         for s in chosen if not hasattr(s, "recurrence")
     }
+    sums = None
+    if known:
+        attribute_sums(panel, known).write.mode("overwrite").parquet(f"{out}/model/attribute_sums")
+        sums = spark.read.parquet(f"{out}/model/attribute_sums")
     for name, model in models.items():
         save_model(model, f"{out}/model/learned/{name}")
-    settings = {"horizon": horizon, "n_folds": n_folds, "quantiles": list(quantiles)}
+    settings = {
+        "horizon": horizon, "n_folds": n_folds, "quantiles": list(quantiles),
+        "attributes": list(attributes),
+    }
     save_specs(spark, chosen, weights, settings, f"{out}/model/specs")
-    ahead = vote(forecast(panel, chosen, horizon, models, holidays, codes), table)
-    bounded = intervals(ahead, ensemble_bt, quantiles)
+    ahead = vote(forecast(panel, chosen, horizon, models, holidays, codes, known, sums), table)
+    bounded = cut_lineage(intervals(ahead, ensemble_bt, quantiles), "bounded")
     write_forecast(_clipped(bounded, quantiles), f"{out}/forecast", layout, mode="overwrite")
+    _write_summaries(bounded, meta, out)
     return weights
 
 
@@ -154,7 +211,8 @@ def forecast_job(
     layout: str = "rows",
 ) -> DataFrame:
     """Load what :func:`refresh_job` or :func:`tune_job` stored, forecast the given panel,
-    write the forecast to ``{out}/forecast`` and return it as read back.
+    write the forecast to ``{out}/forecast`` and return it as read back. ``{out}/summary`` and
+    ``{out}/quantile_totals`` have its sums. Columns that the models use are read from the panel.
 
     Interval widths come from a backtest on the given panel. Segments are coded as they were
     when the models were fitted; a segment that is new gets its forecast from the members
@@ -170,10 +228,13 @@ def forecast_job(
     }
     table = weight_table(spark, weights)
     codes = spark.read.parquet(f"{model_path}/segment_codes")
-    ahead = vote(forecast(panel, specs, horizon, models, holidays, codes), table)
-    bt = vote_backtest(backtest(panel, specs, horizon, n_folds, holidays=holidays), table)
-    bounded = intervals(ahead, bt, quantiles)
+    known = _stored_attributes(spark, panel_path, settings.get("attributes", ()), f"{out}/attributes")
+    sums = spark.read.parquet(f"{model_path}/attribute_sums") if known else None
+    ahead = vote(forecast(panel, specs, horizon, models, holidays, codes, known, sums), table)
+    tested = backtest(panel, specs, horizon, n_folds, holidays=holidays, attributes=known)
+    bounded = cut_lineage(intervals(ahead, vote_backtest(tested, table), quantiles), "bounded")
     write_forecast(_clipped(bounded, quantiles), f"{out}/forecast", layout, mode="overwrite")
+    _write_summaries(bounded, None, out)
     return read_forecast(spark, f"{out}/forecast", layout)
 
 

@@ -5,6 +5,13 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ..operators.attributes import (
+    attributes_as_of,
+    category_sums,
+    merged_sums,
+    ordered_means,
+    with_means,
+)
 from ..operators.features import (
     add_date_flags,
     add_holiday,
@@ -187,3 +194,74 @@ def seasonal_decomposition(spark, sf_dir):
         "segment", "t_idx", "target",
         *[F.round(c, 7).alias(c) for c in ("trend", "seasonal", "resid")],
     )
+
+
+# Two attributes of a segment that change, one of them missing at times.
+CHANGES = """sizes AS (
+  SELECT segment, ts, max(product_size) AS product_size FROM lines
+  WHERE product_size % 5 <> 0 GROUP BY ALL),
+names AS (SELECT segment, ts, max(product_name) AS product_name FROM lines GROUP BY ALL)"""
+
+
+def _changes(spark, sf_dir):
+    size = F.col("product_size")
+    return sales_lines(spark, sf_dir).select(
+        "segment", "timestamp", F.when(size % 5 != 0, size).alias("product_size"), "product_name"
+    )
+
+
+@query(f"""WITH {PANEL}, {CHANGES}
+SELECT p.segment, p.ts AS "timestamp", s.product_size, n.product_name
+FROM panel p
+ASOF LEFT JOIN sizes s ON p.segment = s.segment AND p.ts >= s.ts
+ASOF LEFT JOIN names n ON p.segment = n.segment AND p.ts >= n.ts""")
+def attributes_at_month_start(spark, sf_dir):
+    """What was known of each segment when a month began."""
+    rows = sales_panel(spark, sf_dir).select("segment", "timestamp")
+    return attributes_as_of(rows, _changes(spark, sf_dir), ("product_size", "product_name"))
+
+
+BY_PRODUCT = LINES + """,
+rows_ AS (
+  SELECT segment, product_name, date_trunc('month', ts)::TIMESTAMP AS ts, sum(target)::DOUBLE AS y
+  FROM lines GROUP BY ALL)"""
+
+
+def _by_product(spark, sf_dir):
+    month = F.trunc("timestamp", "month").cast("timestamp_ntz")
+    return sales_lines(spark, sf_dir).groupBy("segment", "product_name", month.alias("timestamp")).agg(
+        F.sum("target").cast("double").alias("y")
+    )
+
+
+@query(f"""WITH {BY_PRODUCT},
+by_product AS (SELECT product_name, ts, count(y) AS n, sum(y) AS total FROM rows_ GROUP BY ALL),
+by_month AS (SELECT ts, count(y) AS n, sum(y) AS total FROM rows_ GROUP BY ALL),
+prior AS (
+  SELECT ts, coalesce(sum(total) OVER w / nullif(sum(n) OVER w, 0), 0) AS prior FROM by_month
+  WINDOW w AS (ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+earlier AS (
+  SELECT product_name, ts, coalesce(sum(total) OVER w, 0) AS total, coalesce(sum(n) OVER w, 0) AS n
+  FROM by_product WINDOW w AS (
+    PARTITION BY product_name ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT segment, product_name, ts AS "timestamp", round((total + 10 * prior) / (n + 10), 6) AS mean_product
+FROM rows_ JOIN earlier USING (product_name, ts) JOIN prior USING (ts)""")
+def ordered_target_means(spark, sf_dir):
+    """Mean sales of a product's earlier months, for each month of it."""
+    found = ordered_means(_by_product(spark, sf_dir), "product_name", "mean_product")
+    return found.select("segment", "product_name", "timestamp", F.round("mean_product", 6).alias("mean_product"))
+
+
+@query(f"""WITH {BY_PRODUCT},
+total AS (SELECT sum(y) / count(y) AS prior FROM rows_ WHERE ts < '2001-06-01'),
+sums AS (SELECT product_name, count(y) AS n, sum(y) AS total FROM rows_ WHERE ts < '2001-06-01' GROUP BY ALL)
+SELECT r.segment, r.product_name, r.ts AS "timestamp",
+       round((coalesce(s.total, 0) + 10 * t.prior) / (coalesce(s.n, 0) + 10), 6) AS mean_product
+FROM rows_ r CROSS JOIN total t LEFT JOIN sums s USING (product_name) WHERE r.ts >= '2001-06-01'""")
+def later_target_means(spark, sf_dir):
+    """The same for later months, from sums of two periods that are merged."""
+    rows = _by_product(spark, sf_dir)
+    first, second = rows.filter("timestamp < '2000-01-01'"), rows.filter("timestamp >= '2000-01-01' AND timestamp < '2001-06-01'")
+    sums = merged_sums(category_sums(first, ["product_name"]), category_sums(second, ["product_name"]))
+    found = with_means(rows.filter("timestamp >= '2001-06-01'"), sums, "product_name", "mean_product")
+    return found.select("segment", "product_name", "timestamp", F.round("mean_product", 6).alias("mean_product"))

@@ -261,6 +261,34 @@ def refresh_run(spark, sf_dir):
     return _rounded(read_forecast(spark, f"{path}/out/forecast"))
 
 
+@query(f"""WITH {ENSEMBLE},
+named AS (
+  SELECT segment, department, arg_max(product_name, (ts, product_name)) AS article
+  FROM lines WHERE product_size < 25 GROUP BY ALL),
+described AS (
+  SELECT coalesce(n.department, 'UNKNOWN') AS department, coalesce(n.article, b.segment) AS article,
+         b.target, b.lower_bound, b.upper_bound
+  FROM bounded b LEFT JOIN named n USING (segment))
+SELECT department, article, round(coalesce(sum(target), 0), 4) + 0.0 AS target,
+       round_even(coalesce(sum(greatest(lower_bound, 0)), 0), 0) + 0.0 AS "target_0.025",
+       round_even(coalesce(sum(greatest(upper_bound, 0)), 0), 0) + 0.0 AS "target_0.975"
+FROM described GROUP BY ALL""")
+def refresh_summary(spark, sf_dir):
+    """The refresh job with metadata: sums per department and product name."""
+    path = work_dir(spark, "run")
+    small = F.col("product_size") < 25
+    write_panel(
+        sales_lines(spark, sf_dir).select(
+            "segment", "timestamp", "target", F.when(small, F.col("department")).alias("kind"),
+            F.when(small, F.col("product_name")).alias("name"),
+        ), f"{path}/lines",
+    )
+    refresh_job(
+        spark, f"{path}/lines", f"{path}/out", HORIZON, CLASSICAL, metadata=("kind", "name")
+    )
+    return spark.read.parquet(f"{path}/out/summary").withColumn("target", F.round("target", 4))
+
+
 @query(FORECAST_RESULT)
 def forecast_run(spark, sf_dir):
     path = work_dir(spark, "run")
