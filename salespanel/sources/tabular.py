@@ -7,11 +7,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import DAY_FIRST_FORMATS, PANDAS_NA, na_to_null, parse_number, parse_ts, segment_key
 
 # The report's key columns.
 REPORT_KEYS = ("Департамент", "Артикул")
+#: Stands for a blank field while CSV is read; no header or value is called so.
+BLANK = "\ufdd0blank"
+
+
+def _same_headers(spark: SparkSession, path, options: dict) -> DataFrame:
+    """The files as text, all with the columns of the first one in the same order, or reading
+    raises. Spark's own comparison does not know blank headers, which it calls ``_cN``."""
+    first = spark.read.csv(path, **options)
+    names = first.columns
+    blank = [c for c in names if re.fullmatch(r"_c\d+", c)]
+    if len(blank) > 1:  # Spark takes no two columns of one name: look at the files one by one
+        for file in first.inputFiles():
+            if (found := spark.read.csv(file, **options).columns) != names:
+                raise ValueError(f"{file} has the columns {found}, other files {names}")
+        return first
+    # A blank, in a header or a row, is read as BLANK, which is then a missing value.
+    schema = T.StructType([T.StructField(BLANK if c in blank else c, T.StringType()) for c in names])
+    same = spark.read.schema(schema).csv(path, **options, enforceSchema=False, nullValue=BLANK)
+    return same.toDF(*names)
 
 
 def _text_csv(
@@ -21,10 +41,7 @@ def _text_csv(
         "sep": sep, "header": True, "quote": '"', "escape": '"', "multiLine": multiline,
         "encoding": "UTF-8",
     }
-    raw = spark.read.csv(path, **options)
-    if not any(re.fullmatch(r"_c\d+", c) for c in raw.columns):
-        # every file's header is compared with the columns; another order raises
-        raw = spark.read.schema(raw.schema).csv(path, **options, enforceSchema=False)
+    raw = _same_headers(spark, path, options)
     # Spark calls a blank header `_cN`; the junk-column rule looks for `Unnamed: N`.
     return raw.select(
         *[
@@ -41,8 +58,8 @@ def read_upload(
 
     Line breaks inside quotes belong to the value, so a file is one task. With
     ``multiline=False`` files are split across tasks; give it only where no value has a
-    line break. Files of one upload have the same columns in the same order, or reading
-    raises (files with unnamed columns are not compared).
+    line break. Files of one upload have the same columns in the same order, unnamed ones
+    too, or reading raises.
     """
     return _text_csv(spark, path, "|", na_tokens, multiline)
 

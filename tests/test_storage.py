@@ -19,7 +19,14 @@ from salespanel.sources import (
     write_forecast,
     write_report,
 )
-from salespanel.streaming import stream_monthly, stream_uploads
+from salespanel.streaming import (
+    latest_revisions,
+    run_monthly_corrected,
+    stream_monthly,
+    stream_monthly_corrected,
+    stream_uploads,
+    stream_uploads_once,
+)
 
 FORECAST = {
     f'D{i}|A] "{i}" ю': [
@@ -183,6 +190,71 @@ def test_months_are_put_out_when_closed(spark, tmp_path):
     assert got == [("a", "2024-01", 3.0), ("a", "2024-02", 9.0)]
 
 
+def test_late_rows_correct_closed_months(spark, tmp_path):
+    drop, schema = tmp_path / "rows", "segment string, timestamp timestamp_ntz, target double"
+
+    def feed(rows, keep=60):
+        spark.createDataFrame(rows, "segment string, timestamp string, target double").selectExpr(
+            "segment", "cast(timestamp as timestamp_ntz) timestamp", "target"
+        ).coalesce(1).write.mode("append").parquet(str(drop))
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(drop))
+        run_monthly_corrected(stream, str(tmp_path / "out"), str(tmp_path / "cp"), keep=keep).awaitTermination()
+        got = spark.read.schema(schema + ", revision int").parquet(str(tmp_path / "out"))
+        return (
+            sorted((r.segment, r.timestamp.strftime("%m"), r.target, r.revision) for r in got.collect()),
+            sorted((r.segment, r.timestamp.strftime("%m"), r.target) for r in latest_revisions(got).collect()),
+        )
+
+    first = [("a", "2024-01-03", 1.0), ("a", "2024-01-31", None), ("a", "2024-02-01", 4.0), (None, "2024-01-01", 9.0), ("a", None, 9.0)]
+    assert feed(first) == ([("a", "01", 1.0, 1)], [("a", "01", 1.0)])
+    every, latest = feed([("a", "2024-01-15", 100.0), ("b", "2024-01-20", 5.0), ("a", "2024-03-01", 7.0)])
+    assert every == [("a", "01", 1.0, 1), ("a", "01", 101.0, 2), ("a", "02", 4.0, 1), ("b", "01", 5.0, 1)]
+    assert latest == [("a", "01", 101.0), ("a", "02", 4.0), ("b", "01", 5.0)]
+    feed([("a", "2024-06-15", 1.0)])  # January is forgotten 60 days after its end
+    every, latest = feed([("a", "2024-01-15", 1000.0), ("a", "2024-05-02", 3.0)])
+    assert ("a", "01", 101.0) in latest and ("a", "05", 3.0) in latest
+    with pytest.raises(ValueError):
+        stream_monthly_corrected(spark.readStream.schema(schema).parquet(str(drop)), late=5, keep=5)
+
+
+def test_a_file_under_two_names_counts_once(spark, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    columns = ["department", "article", "productProperties", "target", "timestamp"]
+    schema = T.StructType([T.StructField("k", T.LongType())])
+
+    def run():
+        stream_uploads_once(
+            spark, str(drop), columns, schema, str(tmp_path / "out"), str(tmp_path / "cp"), files_per_batch=2
+        ).awaitTermination()
+        return sorted((r.segment, r.target) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    twice = upload_text(['D|A|"{""k"": 1}"|2|2024-01-01'] * 2)  # equal rows of one file both count
+    for name in ("1.csv", "2 copy.csv", "3.csv"):
+        (drop / name).write_text(twice)
+    assert run() == [("D|A", 2.0)] * 2
+    (drop / "4.csv").write_text(twice)
+    (drop / "5.csv").write_text(upload_text(['D|A|"{""k"": 1}"|2|2024-01-01', 'D|B|"{}"|3|2024-01-01']))
+    assert run() == [("D|A", 2.0)] * 3 + [("D|B", 3.0)]
+    (drop / "6.csv").write_text("article|department|productProperties|target|timestamp\nA|D|{}|1|2024-01-01\n")
+    with pytest.raises(Exception, match="columns"):
+        run()
+
+
+@pytest.mark.parametrize("blanks", [1, 2])
+def test_headers_with_blanks_are_compared(spark, tmp_path, blanks):
+    lead = "|" * blanks
+    (tmp_path / "1.csv").write_text(f"{lead}department|article\n{'0|' * blanks}D|A\n")
+    (tmp_path / "2.csv").write_text(f"{lead}department|article\n{'|' * blanks}E|\n")
+    got = read_upload(spark, str(tmp_path))
+    assert got.columns == [f"Unnamed: {i}" for i in range(blanks)] + ["department", "article"]
+    assert sorted((r[0], r.department, r.article) for r in got.collect() if r[0]) == [("0", "D", "A")]
+    assert [tuple(r) for r in got.filter("department = 'E'").collect()] == [(None,) * blanks + ("E", None)]
+    (tmp_path / "3.csv").write_text(f"{lead}article|department\n{'1|' * blanks}A|D\n")
+    with pytest.raises(Exception):
+        read_upload(spark, str(tmp_path)).collect()
+
+
 @pytest.fixture
 def stored_rows(spark, tmp_path, sales):
     series = {
