@@ -27,7 +27,7 @@ class Attributes:
 
     def until(self, month) -> Attributes:
         """As they were known at the end of a month."""
-        ends = F.add_months(F.trunc(F.lit(month), "month"), 1)
+        ends = F.add_months(F.trunc(F.lit(str(month)[:10]).cast("date"), "month"), 1)
         return replace(self, changes=self.changes.filter(F.col("timestamp") < ends))
 
 

@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import clip0_fill, parse_number, segment_key
-from .properties import flatten_props, is_json_object, parse_props, schema_from_text
+from .properties import (
+    flatten_frequent,
+    flatten_props,
+    is_json_object,
+    parse_props,
+    schema_from_text,
+)
 
 def require_columns(df: DataFrame, names: Sequence[str]) -> None:
     missing = [n for n in names if n not in df.columns]
@@ -104,13 +110,15 @@ def rename_suffix(df: DataFrame, keys: Sequence[str], suffix: str) -> DataFrame:
 
 def clean_upload(
     raw: DataFrame, on_bad: str = "fail", prop_schema: T.StructType | None = None,
-    counts: dict | None = None,
+    counts: dict | None = None, key_share: float | None = None,
 ) -> DataFrame:
     """Raw upload to prepared panel columns: junk columns out, ``segment`` built, target
     clipped, properties flattened to ``prop_*``, gaps filled.
 
     One pass finds empty columns, numeric columns and property keys; give ``counts`` and
-    ``prop_schema`` to do without it (a stream has to). A target that is
+    ``prop_schema`` to do without it (a stream has to). With ``key_share`` only keys of that
+    share of the rows become columns and the others go to the map ``prop_rest``; give it
+    where keys are without number. A target that is
     not a number, or properties that are not a JSON object, stop the job
     (``on_bad='fail'``) or drop the row into :func:`rejected_rows` (``'quarantine'``).
     """
@@ -119,7 +127,9 @@ def clean_upload(
     df = drop_columns_matching(raw)
     if on_bad == "quarantine":
         df = df.filter(~_bad_row(df))
-    if counts is None or prop_schema is None:
+    if key_share is not None:
+        counts = column_counts(df) if counts is None else counts
+    elif counts is None or prop_schema is None:
         found_counts, found_schema = upload_profile(df)
         counts = found_counts if counts is None else counts
         prop_schema = found_schema if prop_schema is None else prop_schema
@@ -136,8 +146,10 @@ def clean_upload(
             bad, F.raise_error(F.concat(F.lit("target is not a number: "), F.col("target"))).cast("double")
         ).otherwise(number)
         df = df.withColumn("target", clip0_fill(number))
-    df = flatten_props(df.drop("article"), "productProperties", "prop_", prop_schema)
-    return fill_unknown(df)
+    df = df.drop("article")
+    if key_share is not None:
+        return fill_unknown(flatten_frequent(df, "productProperties", key_share))
+    return fill_unknown(flatten_props(df, "productProperties", "prop_", prop_schema))
 
 
 def _bad_row(df: DataFrame) -> Column:

@@ -105,3 +105,40 @@ def explode_props(df: DataFrame, col: str, key: str = "segment") -> DataFrame:
         df.sparkSession.tvf.variant_explode(F.col(col).outer())
     )
     return unfolded.select(key, "key", F.col("value").try_cast("string").alias("value"))
+
+
+def frequent_keys(df: DataFrame, col: str, share: float = 0.01) -> list[str]:
+    """Top-level keys of at least ``share`` of the objects, in order. Keys are counted
+    exactly, with partial sums, wherever they fall; as many come to the driver as an
+    object has keys on average, divided by ``share``, however many there are."""
+    if not 0 < share <= 1:
+        raise ValueError("share must be above 0 and at most 1")
+    objects = df.filter(F.col(col).isNotNull())
+    keys = objects.select(F.explode(F.map_keys(F.col(col).try_cast("map<string,variant>"))).alias("key"))
+    total = objects.agg(F.count(F.lit(1))).scalar()
+    counted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return sorted(r["key"] for r in counted.filter(F.col("n") >= F.lit(share) * total).collect())
+
+
+def split_rare(df: DataFrame, col: str, frequent: list[str], rest: str) -> DataFrame:
+    """``col`` with the frequent keys only, and the others with their values as text in the
+    map ``rest``. Nothing is lost, and no schema grows with the number of keys."""
+    every = F.col(col).try_cast("map<string,variant>")
+    listed = F.array(*[F.lit(k) for k in frequent]).cast("array<string>")
+    kept = F.map_filter(every, lambda k, _: F.array_contains(listed, k))
+    others = F.map_filter(every, lambda k, _: ~F.array_contains(listed, k))
+    return df.withColumns({
+        rest: F.transform_values(others, lambda _, v: F.coalesce(v.try_cast("string"), F.to_json(v))),
+        col: F.to_variant_object(kept),
+    })
+
+
+def flatten_frequent(
+    df: DataFrame, col: str, share: float = 0.01, prefix: str = "prop_", rest: str = "prop_rest"
+) -> DataFrame:
+    """As :func:`flatten_props` for keys of at least ``share`` of the objects; the others are
+    in ``rest``, which is empty for a row without any and NULL for one without an object. For
+    tables with keys without number: columns and schema are bounded by ``share``."""
+    parted = split_rare(df, col, frequent_keys(df, col, share), rest)
+    flat = flatten_props(parted, col, prefix)
+    return flat.select(*[f"`{c}`" for c in flat.columns if c != rest], rest)

@@ -15,6 +15,7 @@ from ..operators.ensemble import (
     ENSEMBLE_QUANTILES,
     SINGLE_QUANTILES,
     as_forecast,
+    conformal_intervals,
     intervals,
     vote,
     vote_backtest,
@@ -141,7 +142,7 @@ def refresh_job(
     spark: SparkSession, panel_path: str, out: str, horizon: int, specs: Sequence = CANDIDATES,
     n_folds: int = 3, top_n: int = TOP_N, quantiles: Sequence[float] = ENSEMBLE_QUANTILES,
     holidays: DataFrame | None = None, layout: str = "rows", attributes: Sequence[str] = (),
-    metadata: Sequence[str] = (),
+    metadata: Sequence[str] = (), conformal: bool = False,
 ) -> dict[str, float]:
     """Backtest all candidates, keep the best, store the ensemble and its forecast.
 
@@ -150,6 +151,7 @@ def refresh_job(
     article) and ``quantile_totals``. Returns the weights. ``attributes`` are columns of the
     panel table that learned models use, as known at the time. ``metadata`` names the two
     columns that say a segment's department and article in the summary; the latest values count.
+    Bounds are normal ones, or ``conformal`` ones.
     """
     panel = _stored_panel(spark, panel_path, f"{out}/panel")
     known = _stored_attributes(spark, panel_path, attributes, f"{out}/attributes")
@@ -176,11 +178,15 @@ def refresh_job(
         save_model(model, f"{out}/model/learned/{name}")
     settings = {
         "horizon": horizon, "n_folds": n_folds, "quantiles": list(quantiles),
-        "attributes": list(attributes),
+        "attributes": list(attributes), "conformal": conformal,
     }
     save_specs(spark, chosen, weights, settings, f"{out}/model/specs")
     ahead = vote(forecast(panel, chosen, horizon, models, holidays, codes, known, sums), table)
-    bounded = cut_lineage(intervals(ahead, ensemble_bt, quantiles), "bounded")
+    if conformal:
+        bounded = conformal_intervals(ahead, cut_lineage(ensemble_bt, "ensemble-backtest"), quantiles)
+    else:
+        bounded = intervals(ahead, ensemble_bt, quantiles)
+    bounded = cut_lineage(bounded, "bounded")
     write_forecast(_clipped(bounded, quantiles), f"{out}/forecast", layout, mode="overwrite")
     _write_summaries(bounded, meta, out)
     return weights
@@ -232,7 +238,9 @@ def forecast_job(
     sums = spark.read.parquet(f"{model_path}/attribute_sums") if known else None
     ahead = vote(forecast(panel, specs, horizon, models, holidays, codes, known, sums), table)
     tested = backtest(panel, specs, horizon, n_folds, holidays=holidays, attributes=known)
-    bounded = cut_lineage(intervals(ahead, vote_backtest(tested, table), quantiles), "bounded")
+    tested = cut_lineage(vote_backtest(tested, table), "ensemble-backtest")
+    bound = conformal_intervals if settings.get("conformal") else intervals
+    bounded = cut_lineage(bound(ahead, tested, quantiles), "bounded")
     write_forecast(_clipped(bounded, quantiles), f"{out}/forecast", layout, mode="overwrite")
     _write_summaries(bounded, None, out)
     return read_forecast(spark, f"{out}/forecast", layout)

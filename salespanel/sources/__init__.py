@@ -1,4 +1,5 @@
 from .artefacts import load_model, load_specs, save_model, save_specs
+from .bounds import file_bounds, read_trailing, write_by_time
 from .forecast_json import POINT_SCHEMA, nest_forecast, read_forecast, unnest_forecast, write_forecast
 from .tabular import (
     read_legacy,
@@ -12,6 +13,7 @@ from .tabular import (
 
 __all__ = [
     "POINT_SCHEMA",
+    "file_bounds",
     "load_model",
     "load_specs",
     "nest_forecast",
@@ -19,10 +21,12 @@ __all__ = [
     "read_legacy",
     "read_panel",
     "read_report",
+    "read_trailing",
     "read_upload",
     "save_model",
     "save_specs",
     "unnest_forecast",
+    "write_by_time",
     "write_forecast",
     "write_invalid",
     "write_panel",

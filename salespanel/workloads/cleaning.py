@@ -26,7 +26,7 @@ from ..operators.cleaning import (
     fill_zero,
     rename_suffix,
 )
-from ..operators.properties import explode_props, flatten_props, parse_props
+from ..operators.properties import explode_props, flatten_frequent, flatten_props, parse_props
 from ..operators.quality import (
     invalid_preview,
     invalid_targets,
@@ -224,6 +224,25 @@ def json_flattened(spark, sf_dir):
     return flatten_props(parsed, "props")
 
 
+@query(f"""WITH {PROPS}
+SELECT segment, p_name AS "prop_name", p_retailprice AS "prop_price",
+       'cm' AS "prop_size.unit", CAST(p_size AS BIGINT) AS "prop_size.value",
+       'part ' || segment AS rare_key, CAST(p_size * 2 AS VARCHAR) AS rare_value
+FROM props""")
+def json_frequent_keys(spark, sf_dir):
+    """Every part has a key of its own beside the common ones."""
+    own = F.concat(F.lit(', "part '), F.col("segment").cast("string"), F.lit('": '))
+    twice = (F.get_json_object("props", "$.size.value").cast("int") * 2).cast("string")
+    texts = part_props(spark, sf_dir).withColumn(
+        "props", F.concat(F.regexp_replace("props", r"\}$", ""), own, twice, F.lit("}"))
+    )
+    flat = flatten_frequent(parse_props(texts, "props"), "props", share=0.9)
+    rare = F.map_filter("prop_rest", lambda k, _: k.startswith("part "))
+    return flat.withColumns(
+        {"rare_key": F.element_at(F.map_keys(rare), 1), "rare_value": F.element_at(F.map_values(rare), 1)}
+    ).drop("prop_rest")
+
+
 @query(f"""WITH {PROPS}
 SELECT segment, 'name' AS key, p_name AS value FROM props
 UNION ALL SELECT segment, 'price', CAST(p_retailprice AS VARCHAR) FROM props

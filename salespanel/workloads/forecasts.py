@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import clip0_fill, clip0_keep
 from ..operators.ensemble import (
+    SINGLE_QUANTILES,
+    conformal_intervals,
     recurrence_ensemble,
     vote,
     vote_backtest,
@@ -25,6 +27,7 @@ from ..operators.recurrence import linear_forecast
 from ..operators.specs import BOOSTED, CLASSICAL, Linear, Naive, SeasonalMA
 from ..operators.tuning import refit, search
 from ..params import cut_lineage
+from ..plans import select_ensemble
 from .registry import Registry
 from .tables import (
     AHEAD,
@@ -222,6 +225,45 @@ def clipped_forecast(spark, sf_dir):
     )
 
 
+@query(f"""WITH {SELECTION}, {ENSEMBLE_POINTS}, {AHEAD},
+voted AS (
+  SELECT segment, h, ts,
+         sum(weight * yhat) / sum(CASE WHEN yhat IS NOT NULL THEN weight END) AS yhat
+  FROM ahead JOIN weights USING (model) GROUP BY ALL),
+off AS (
+  SELECT segment, actual - yhat AS e, avg(abs(actual - yhat)) OVER (PARTITION BY segment) AS scale,
+         (sum(abs(actual - yhat)) OVER (PARTITION BY segment) - abs(actual - yhat))
+           / nullif(count(*) OVER (PARTITION BY segment) - 1, 0) AS others,
+         count(*) OVER (PARTITION BY segment) AS n,
+         row_number() OVER (PARTITION BY segment ORDER BY actual - yhat) AS up,
+         row_number() OVER (PARTITION BY segment ORDER BY yhat - actual) AS down
+  FROM voted_bt WHERE actual IS NOT NULL AND yhat IS NOT NULL),
+own AS (
+  SELECT segment, any_value(scale) AS scale,
+         max(-e) FILTER (down = ceil((n + 1) * 0.9 - 1e-9)) AS low,
+         max(e) FILTER (up = ceil((n + 1) * 0.95 - 1e-9)) AS high
+  FROM off GROUP BY segment),
+pool AS (
+  SELECT count(*) AS n, list_sort(list(-e / others)) AS low, list_sort(list(e / others)) AS high
+  FROM off WHERE others > 0)
+SELECT v.segment, v.ts AS "timestamp", round(v.yhat, 4) + 0.0 AS target,
+       round(v.yhat - coalesce(o.low, o.scale * p.low[CAST(ceil((p.n + 1) * 0.9 - 1e-9) AS BIGINT)]), 4) + 0.0 AS "target_0.1",
+       round(v.yhat + coalesce(o.high, o.scale * p.high[CAST(ceil((p.n + 1) * 0.95 - 1e-9) AS BIGINT)]), 4) + 0.0 AS "target_0.95"
+FROM voted v LEFT JOIN own o USING (segment) CROSS JOIN pool p""")
+def conformal_bounds(spark, sf_dir):
+    """Bounds of the ensemble by ranks of its backtest residuals; with nine residuals a
+    segment has its own lower bound and takes the upper one from all segments."""
+    panel = cut_lineage(sales_panel(spark, sf_dir))
+    chosen, weights, bt = select_ensemble(panel, CLASSICAL, HORIZON)
+    table = weight_table(spark, weights)
+    ahead = vote(forecast(panel, chosen, HORIZON), table)
+    tested = cut_lineage(vote_backtest(bt, table), "ensemble-backtest")
+    bounded = conformal_intervals(ahead, tested, SINGLE_QUANTILES)
+    return bounded.select(
+        "segment", "timestamp", *[F.round(f"`{c}`", 4).alias(c) for c in bounded.columns[2:]]
+    )
+
+
 # Trained models have no SQL twin; these are checked by property tests.
 @query()
 def boosted_forecast(spark, sf_dir):

@@ -22,8 +22,10 @@ from ..sources import (
     read_legacy,
     read_panel,
     read_report,
+    read_trailing,
     read_upload,
     save_model,
+    write_by_time,
     write_forecast,
     write_invalid,
     write_panel,
@@ -90,6 +92,16 @@ def upload_to_panel(spark, sf_dir):
     return spark.read.parquet(f"{path}/out")
 
 
+@query(f"""WITH {LINES}
+SELECT segment, ts AS "timestamp", target FROM lines
+WHERE ts >= (SELECT max(ts) FROM lines) - INTERVAL 123 DAY""")
+def trailing_window_by_files(spark, sf_dir):
+    """The trailing days from the few files of a table that hold any."""
+    path = work_dir(spark, "by-time")
+    write_by_time(sales_lines(spark, sf_dir).select("segment", "timestamp", "target"), path)
+    return read_trailing(spark, path)
+
+
 @query("""SELECT CAST(event_id AS VARCHAR) AS row_id FROM events
 WHERE event_type IN ('error', 'view')""")
 def upload_rejects(spark, sf_dir):

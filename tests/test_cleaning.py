@@ -125,3 +125,38 @@ def test_writers_refuse_to_overwrite_and_quote_text(spark, tmp_path):
     assert [tuple(r) for r in back.collect()] == [('a "b", c', "1")]
     with pytest.raises(Exception, match="already exists"):
         write_panel(df, str(tmp_path / "r"))
+
+
+def test_rare_keys_go_to_a_map_and_nothing_is_lost(spark):
+    import json
+
+    from salespanel.operators.properties import flatten_frequent, frequent_keys, parse_props
+
+    rows = [{"name": f"n{i}", "size": {"unit": "cm", "v": i}, f"only {i}": [i], **({"often": i} if i % 2 else {})} for i in range(400)]
+    table = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(rows)] + [(-1, "{}")], "segment long, props string")
+    parsed = parse_props(table, "props").union(spark.sql("select -2L, cast(null as variant)"))
+    assert frequent_keys(parsed, "props", 0.9) == ["name", "size"]
+    assert frequent_keys(parsed, "props", 0.3) == ["name", "often", "size"]
+    flat = flatten_frequent(parsed, "props", 0.3)
+    assert flat.columns == ["segment", "prop_name", "prop_often", "prop_size.unit", "prop_size.v", "prop_rest"]
+    got = {r.segment: r for r in flat.collect()}
+    assert len(got) == 402 and got[-1].prop_rest == {} and got[-2].prop_rest is None
+    for i in range(400):
+        assert got[i].prop_name == f"n{i}" and got[i]["prop_size.v"] == i and got[i].prop_rest == {f"only {i}": f"[{i}]"}
+        assert got[i].prop_often == (i if i % 2 else None)
+    with pytest.raises(ValueError):
+        frequent_keys(parsed, "props", 0)
+
+
+def test_upload_with_keys_without_number(spark):
+    from salespanel.operators.cleaning import clean_upload
+
+    n = 20_000
+    raw = spark.range(n).selectExpr(
+        "'D' department", "concat('A', id) article", "'1' target",
+        "concat('{\"colour\": \"red\", \"key ', id, '\": 1, \"other ', id, '\": 2}') productProperties",
+    )
+    clean = clean_upload(raw, key_share=0.5)
+    assert clean.columns == ["department", "target", "segment", "prop_colour", "prop_rest"]
+    sums = clean.selectExpr("sum(size(prop_rest)) rest", "count_if(prop_colour = 'red') red").first()
+    assert (sums.rest, sums.red) == (2 * n, n)

@@ -253,3 +253,35 @@ def test_boosted_queries_take_all_candidates(monkeypatch):
     forecasts.boosted_forecast(None, "")
     forecasts.boosted_backtest(None, "")
     assert taken == [(BOOSTED, {}), (BOOSTED, {})]  # and the default number of folds
+
+
+def test_conformal_bounds_hold_a_new_residual_as_often_as_they_say(spark):
+    import random
+
+    from salespanel.operators.ensemble import conformal_intervals, intervals
+
+    draw = random.Random(8)
+    skewed = lambda: draw.expovariate(1) ** 2  # noqa: E731  far from normal
+    segments = [(f"s{i}", 10.0 ** (i % 3)) for i in range(600)]
+    past = [("m", s, 1.0, 1.0 + size * skewed()) for s, size in segments for _ in range(9)]
+    past += [("m", "none", None, 1.0), ("m", "still", 5.0, 5.0)]
+    bt = spark.createDataFrame(past, "model string, segment string, yhat double, actual double").persist()
+    ahead = spark.createDataFrame(
+        [(s, 1.0) for s, _ in segments] + [("none", 1.0), ("still", 5.0), ("new", 1.0)], "segment string, yhat double"
+    ).selectExpr("segment", "timestamp_ntz '2020-01-01' timestamp", "yhat")
+    size = dict(segments)
+
+    def coverage(rows, low, high):
+        hits = [r[low] <= 1.0 + size[r.segment] * skewed() <= r[high] for r in rows if r.segment in size for _ in range(20)]
+        return sum(hits) / len(hits)
+
+    own = conformal_intervals(ahead, bt, (0.1, 0.9)).collect()  # nine residuals are enough
+    assert len(own) == 603 and 0.78 < coverage(own, "target_0.1", "target_0.9") < 0.87
+    pooled = conformal_intervals(ahead, bt, (0.025, 0.975)).collect()
+    assert coverage(pooled, "target_0.025", "target_0.975") > 0.92
+    by = {r.segment: r for r in pooled}
+    assert by["none"]["target_0.975"] is None and by["new"]["target_0.025"] is None
+    assert by["still"]["target_0.975"] == 5.0
+    assert set(intervals(ahead, bt, (0.025, 0.975)).columns) == set(conformal_intervals(ahead, bt, (0.025, 0.975)).columns)
+    nothing = conformal_intervals(ahead, bt.limit(0)).collect()
+    assert {r["target_0.975"] for r in nothing} == {None}

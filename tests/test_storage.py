@@ -1,6 +1,8 @@
 import glob
 import json
 
+import os
+
 import pytest
 from pyspark.sql import types as T
 
@@ -9,6 +11,9 @@ from salespanel.operators.panel import future_grid, regularise
 from salespanel.operators.specs import CLASSICAL, Boosted, Linear, Naive, SeasonalMA
 from salespanel.plans import forecast_job, refresh_job, report_job, tune_job, upload_job
 from salespanel.sources import (
+    file_bounds,
+    read_trailing,
+    write_by_time,
     read_report,
     read_upload,
     load_model,
@@ -255,6 +260,28 @@ def test_headers_with_blanks_are_compared(spark, tmp_path, blanks):
         read_upload(spark, str(tmp_path)).collect()
 
 
+def test_trailing_rows_come_from_the_last_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(20_000).selectExpr(
+        "id", "timestamp_ntz '2020-01-01' + make_dt_interval(cast(id % 1000 as int)) timestamp"
+    )
+    write_by_time(rows.repartition(5), path, files=10)
+    every = spark.read.parquet(path)
+    found = read_trailing(spark, path, days=30)
+    assert found.schema == every.schema and found.count() == 31 * 20
+    assert 0 < len(found.inputFiles()) < len(every.inputFiles()) / 2
+    assert file_bounds(spark, path).agg({"n": "sum"}).first()[0] == 20_000
+    # files without bounds are looked at, those that are gone are not missed
+    late = spark.range(3).selectExpr("id", "timestamp_ntz '2022-11-01' timestamp")
+    late.coalesce(1).write.mode("append").parquet(path)
+    assert read_trailing(spark, path, days=60).count() == 3 + 20 * 25
+    for f in read_trailing(spark, path, days=1).inputFiles():
+        os.remove(f.removeprefix("file://"))
+    assert read_trailing(spark, path, days=30).count() == 31 * 20
+    write_by_time(rows.limit(0), str(tmp_path / "none"))
+    assert read_trailing(spark, str(tmp_path / "none")).collect() == []
+
+
 @pytest.fixture
 def stored_rows(spark, tmp_path, sales):
     series = {
