@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ..params import cut_lineage
 
 RING_BITS, CELL_BITS = 31, 8
-PART_BITS = 8  # parts of an arc, as many on any cluster
+PART_BITS = 6  # parts of an arc, as many on any cluster
 
 
 def ring(shards: int, vnodes: int, seed: int = 0) -> list[tuple[int, int]]:
