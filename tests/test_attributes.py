@@ -90,7 +90,7 @@ def test_sums_of_parts_give_what_a_later_row_would_see(spark):
 def coloured(spark):
     """Twelve segments whose sales depend on their colour only; codes say nothing."""
     rows = [
-        (f"s{i:02d}", day(0) if m == 0 else dt.datetime(2020 + m // 12, m % 12 + 1, 1), 900.0 if i * 7 % 12 < 6 else 10.0, "red" if i * 7 % 12 < 6 else "blue")
+        (f"K|s{i:02d}", day(0) if m == 0 else dt.datetime(2020 + m // 12, m % 12 + 1, 1), 900.0 if i * 7 % 12 < 6 else 10.0, "red" if i * 7 % 12 < 6 else "blue")
         for i in range(12) for m in range(18)
     ]
     return spark.createDataFrame(rows, "segment string, timestamp timestamp_ntz, target double, colour string").persist()
@@ -130,7 +130,7 @@ def test_jobs_store_attributes_metadata_and_summaries(spark, coloured, tmp_path)
         spark, f"{tmp_path}/rows", f"{tmp_path}/run", 2, specs, n_folds=1, attributes=("colour",), metadata=("kind", "name")
     )
     summary = spark.read.parquet(f"{tmp_path}/run/summary")
-    assert {(r.department, r.article) for r in summary.collect()} == {("K", f"ns{i:02d}") for i in range(12)}
+    assert {(r.department, r.article) for r in summary.collect()} == {("K", f"nK|s{i:02d}") for i in range(12)}
     sums = spark.read.parquet(f"{tmp_path}/run/model/attribute_sums").collect()
     assert {(r.attribute, r.value, r.n) for r in sums} == {("colour", "red", 108), ("colour", "blue", 108)}
     first = spark.read.parquet(f"{tmp_path}/run/quantile_totals").first()
