@@ -4,6 +4,7 @@ is written to the run's folder first, so a lost executor costs one step, not the
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,10 +30,12 @@ from ..operators.evaluation import (
     roll_up,
     top_models,
 )
-from ..operators.forecasting import backtest, forecast
-from ..operators.learned import attribute_sums, segment_codes
+from ..operators.forecasting import backtest, forecast, split_specs
+from ..operators.incremental import cast_ahead, cast_backtest, cast_origins
+from ..operators.learned import attribute_sums, learned_backtest, segment_codes
 from ..operators.learned import fit as fit_learned
 from ..operators.panel import regularise
+from ..operators.recurrence import folds
 from ..operators.report import combined_report
 from ..operators.specs import CANDIDATES
 from ..operators.summary import (
@@ -142,7 +145,8 @@ def refresh_job(
     spark: SparkSession, panel_path: str, out: str, horizon: int, specs: Sequence = CANDIDATES,
     n_folds: int = 3, top_n: int = TOP_N, quantiles: Sequence[float] = ENSEMBLE_QUANTILES,
     holidays: DataFrame | None = None, layout: str = "rows", attributes: Sequence[str] = (),
-    metadata: Sequence[str] = (), conformal: bool = False,
+    metadata: Sequence[str] = (), conformal: bool = False, keep_casts: bool = False,
+    since: str | None = None,
 ) -> dict[str, float]:
     """Backtest all candidates, keep the best, store the ensemble and its forecast.
 
@@ -152,13 +156,29 @@ def refresh_job(
     panel table that learned models use, as known at the time. ``metadata`` names the two
     columns that say a segment's department and article in the summary; the latest values count.
     Bounds are normal ones, or ``conformal`` ones.
+
+    ``keep_casts`` stores the recurrence forecasts by origin, ``casts`` and ``digests``. ``since``
+    is the ``out`` of an earlier run that did, and implies it: forecasts that rest on the same
+    months are taken from there. Scores, weights and bounds are made of all rows, so the result
+    is that of a whole refresh. Learned models span all segments and are always fitted anew.
     """
+    if since is not None and since.rstrip("/") == out.rstrip("/"):
+        raise ValueError("a run cannot overwrite the one it starts from")
     panel = _stored_panel(spark, panel_path, f"{out}/panel")
     known = _stored_attributes(spark, panel_path, attributes, f"{out}/attributes")
     meta = _described(spark, panel_path, metadata, f"{out}/metadata")
-    backtest(panel, specs, horizon, n_folds, holidays=holidays, attributes=known).write.mode(
-        "overwrite"
-    ).parquet(f"{out}/backtest")
+    fixed, fixed_no, learned, learned_no = split_specs(specs)
+    casts = None
+    if (keep_casts or since is not None) and fixed:
+        ends = folds(n_folds, horizon)
+        casts = cast_origins(panel, fixed, horizon, [*ends, (n_folds, 0, 0)], out, since)
+        tested = cast_backtest(casts, panel, fixed, ends, fixed_no)
+        if learned:
+            part = learned_backtest(panel, learned, learned_no, horizon, ends, holidays, known)
+            tested = tested.unionByName(part)
+    else:
+        tested = backtest(panel, specs, horizon, n_folds, holidays=holidays, attributes=known)
+    tested.write.mode("overwrite").parquet(f"{out}/backtest")
     bt = spark.read.parquet(f"{out}/backtest")
     combined_score(roll_up(metrics(bt))).write.mode("overwrite").parquet(f"{out}/scores")
     chosen, weights, _ = select_ensemble(panel, specs, horizon, n_folds, top_n, bt=bt)
@@ -181,7 +201,11 @@ def refresh_job(
         "attributes": list(attributes), "conformal": conformal,
     }
     save_specs(spark, chosen, weights, settings, f"{out}/model/specs")
-    ahead = vote(forecast(panel, chosen, horizon, models, holidays, codes, known, sums), table)
+    anew = [s for s in chosen if casts is None or not hasattr(s, "recurrence")]
+    members = [forecast(panel, anew, horizon, models, holidays, codes, known, sums)] if anew else []
+    if len(anew) < len(chosen):
+        members.append(cast_ahead(casts, panel, [s for s in chosen if s not in anew]))
+    ahead = vote(reduce(DataFrame.unionByName, members), table)
     if conformal:
         bounded = conformal_intervals(ahead, cut_lineage(ensemble_bt, "ensemble-backtest"), quantiles)
     else:

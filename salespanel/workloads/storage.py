@@ -313,6 +313,49 @@ def refresh_run(spark, sf_dir):
     return _rounded(read_forecast(spark, f"{path}/out/forecast"))
 
 
+def _appended(spark, sf_dir):
+    """A refresh before the last three months and some late rows came, and one from there on.
+    Returns the folder of the second."""
+    path = work_dir(spark, "run")
+    lines = sales_lines(spark, sf_dir).select("segment", "department", "timestamp", "target")
+    last = lines.agg(F.max(F.trunc("timestamp", "month"))).scalar()
+    late = (F.trunc("timestamp", "month") > F.add_months(last, -HORIZON)) | (
+        (F.col("department") == "PROMO") & (F.col("target") == 50)
+    )
+    write_panel(lines.filter(~late), f"{path}/lines")
+    refresh_job(spark, f"{path}/lines", f"{path}/first", HORIZON, CLASSICAL, keep_casts=True)
+    write_panel(lines.filter(late), f"{path}/lines", mode="append")
+    refresh_job(spark, f"{path}/lines", f"{path}/second", HORIZON, CLASSICAL, since=f"{path}/first")
+    return f"{path}/second"
+
+
+@query(FORECAST_RESULT)
+def refresh_appended(spark, sf_dir):
+    """A refresh that takes over what rests on unchanged months, against a whole one."""
+    return _rounded(read_forecast(spark, f"{_appended(spark, sf_dir)}/forecast"))
+
+
+@query(f"""WITH {LINES},
+numbered AS (SELECT *, CAST(year(ts) * 12 + month(ts) - 1 AS INTEGER) AS m FROM lines),
+known AS (
+  SELECT *, m > max(m) OVER () - {HORIZON} OR (department = 'PROMO' AND target = 50) AS late
+  FROM numbered),
+origins AS (
+  SELECT max(m) - back AS origin, back FROM known CROSS JOIN (SELECT unnest([9, 6, 3, 0]) AS back)
+  GROUP BY back),
+judged AS (
+  SELECT segment, origin,
+         bool_or(back = 0 OR (late AND m <= origin)) OR bool_and(late) AS recast
+  FROM known CROSS JOIN origins GROUP BY segment, origin)
+SELECT origin, count(*) AS segments, count(*) FILTER (recast) AS recast FROM judged GROUP BY origin""")
+def refresh_recast(spark, sf_dir):
+    """How many segments that refresh cast again, per origin."""
+    digests = spark.read.parquet(f"{_appended(spark, sf_dir)}/digests")
+    return digests.groupBy("origin").agg(
+        F.count(F.lit(1)).alias("segments"), F.count_if("recast").alias("recast")
+    )
+
+
 @query(f"""WITH {ENSEMBLE},
 named AS (
   SELECT segment, department, arg_max(product_name, (ts, product_name)) AS article
