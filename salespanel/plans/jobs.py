@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.accuracy import accuracy_detail, accuracy_summary
 from ..operators.attributes import Attributes
-from ..operators.cleaning import clean_upload, rejected_rows
+from ..operators.cleaning import stage_upload
 from ..operators.ensemble import (
     ENSEMBLE_QUANTILES,
     SINGLE_QUANTILES,
@@ -66,13 +66,15 @@ from ..sources import (
 
 def upload_job(
     spark: SparkSession, upload_path: str, out: str, on_bad: str = "fail",
-    rejected_path: str | None = None,
-) -> None:
-    """Raw upload to a prepared panel table; rejected rows go to ``rejected_path``."""
-    raw = read_upload(spark, upload_path)
-    write_panel(clean_upload(raw, on_bad), out)
+    rejected_path: str | None = None, key_share: float | None = None,
+) -> dict[str, int]:
+    """Raw upload to a prepared panel table; rejected rows go to ``rejected_path``. The upload is
+    read once. Returns the number of ``panel`` and ``rejected`` rows."""
+    staged = stage_upload(read_upload(spark, upload_path), on_bad, key_share)
+    write_panel(staged.panel, out)
     if on_bad == "quarantine" and rejected_path:
-        write_invalid(rejected_rows(raw), rejected_path)
+        write_invalid(staged.rejected, rejected_path)
+    return {"panel": staged.n_panel, "rejected": staged.n_rejected}
 
 
 def _stored_panel(spark: SparkSession, panel_path: str, folder: str) -> DataFrame:

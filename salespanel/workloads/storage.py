@@ -102,11 +102,10 @@ def trailing_window_by_files(spark, sf_dir):
     return read_trailing(spark, path)
 
 
-@query("""SELECT CAST(event_id AS VARCHAR) AS row_id FROM events
-WHERE event_type IN ('error', 'view')""")
-def upload_rejects(spark, sf_dir):
+def _broken_uploads(spark, sf_dir):
+    """Uploads with broken JSON in one department and targets with a letter in another."""
     kind = F.col("department")
-    broken = raw_uploads(spark, sf_dir).withColumns(
+    return raw_uploads(spark, sf_dir).withColumns(
         {
             "productProperties": F.when(
                 kind == "error", F.regexp_replace("productProperties", r"\}", "")
@@ -116,7 +115,36 @@ def upload_rejects(spark, sf_dir):
             ),
         }
     )
-    return rejected_rows(broken).select("row_id")
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS row_id FROM events
+WHERE event_type IN ('error', 'view')""")
+def upload_rejects(spark, sf_dir):
+    return rejected_rows(_broken_uploads(spark, sf_dir)).select("row_id")
+
+
+@query("""SELECT event_id AS row_id, event_type AS department, event_type NOT IN ('error', 'view') AS kept,
+       CASE WHEN event_type NOT IN ('error', 'view') THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS prop_k,
+       CASE WHEN event_type = 'error' THEN replace(props, '}', '') WHEN event_type = 'view' THEN props END AS text,
+       CASE WHEN event_type = 'view' THEN CAST(value AS DECIMAL(18,2))::VARCHAR || 'x'
+            ELSE CAST(value AS DECIMAL(18,2))::VARCHAR END::VARCHAR AS target,
+       (SELECT count(*) FROM events WHERE event_type IN ('error', 'view')) AS n_rejected
+FROM events""")
+def upload_quarantined(spark, sf_dir):
+    """Both outputs of the upload job, bad rows put aside."""
+    path = work_dir(spark, "upload")
+    _write_upload(_broken_uploads(spark, sf_dir), f"{path}/in")
+    n = upload_job(spark, f"{path}/in", f"{path}/out", "quarantine", f"{path}/bad")
+    kept = read_panel(spark, f"{path}/out").select(
+        F.col("row_id").cast("bigint").alias("row_id"), "department", F.lit(True).alias("kept"), "prop_k",
+        F.lit(None).cast("string").alias("text"),
+        F.col("target").cast("decimal(18,2)").cast("string").alias("target"),
+    )
+    bad = spark.read.csv(f"{path}/bad", header=True, escape='"').select(
+        F.col("row_id").cast("bigint"), "department", F.lit(False), F.lit(None).cast("bigint"),
+        "productProperties", "target",
+    )
+    return kept.union(bad).withColumn("n_rejected", F.lit(n["rejected"]).cast("bigint"))
 
 
 @query("""SELECT CAST(o_orderdate AS TIMESTAMP) AS "timestamp", o_orderstatus AS "Department",
