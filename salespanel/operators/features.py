@@ -96,9 +96,14 @@ def dense_codes(keys: DataFrame, key: str, code: str) -> DataFrame:
         distinct.orderBy(F.xxhash64(key), key).limit(cuts)
         .agg(F.array_sort(F.collect_list(key))).scalar()
     )
-    ranged = distinct.withColumn("_cuts", sample).select(
-        key, F.size(F.filter("_cuts", lambda c: c <= F.col(key))).alias("_range")
+    # The number of borders up to the key, found by halves: a step is taken if the border it
+    # leads to exists and is not after the key.
+    halves = [2**k for k in reversed(range(max(cuts, 1).bit_length()))]
+    at_most = F.aggregate(
+        F.array(*[F.lit(n) for n in halves]), F.lit(0),
+        lambda at, n: at + F.when(F.get("_cuts", at + n - 1) <= F.col(key), n).otherwise(0),
     )
+    ranged = distinct.withColumn("_cuts", sample).select(key, at_most.alias("_range"))
     # One row more than there are shuffle partitions at most, so the running sum over all of them is one small task.
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.select(

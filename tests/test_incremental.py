@@ -46,6 +46,20 @@ def panel_of(sales, spark, tmp_path):
     return make
 
 
+@pytest.fixture(scope="module")
+def base_folder(tmp_path_factory):
+    return tmp_path_factory.mktemp("base")
+
+
+@pytest.fixture
+def first(panel_of, base_folder):
+    """The folder of a run over BASE, made once."""
+    folder = base_folder / "run"
+    if not folder.exists():
+        check(panel_of(BASE, "base"), CLASSICAL, H, str(folder), None)
+    return str(folder)
+
+
 def rows(df):
     return sorted(
         ((*r[:6], None if r.actual is None else round(r.actual, 9), None if r.yhat is None else round(r.yhat, 9))
@@ -62,17 +76,14 @@ def check(panel, specs, horizon, folder, since, n=3):
 
 
 @pytest.mark.parametrize("case", CASES)
-def test_recast_equals_cast(panel_of, tmp_path, case):
-    first, second = str(tmp_path / "first"), str(tmp_path / "second")
-    check(panel_of(BASE, "p1"), CLASSICAL, H, first, None)
-    check(panel_of(CASES[case], "p2"), CLASSICAL, H, second, first)
+def test_recast_equals_cast(panel_of, tmp_path, first, case):
+    check(panel_of(CASES[case], "p"), CLASSICAL, H, str(tmp_path / "second"), first)
 
 
-def test_only_what_changed_is_cast(spark, panel_of, tmp_path):
-    first, second = str(tmp_path / "first"), str(tmp_path / "second")
-    check(panel_of(BASE, "p1"), CLASSICAL, H, first, None)
+def test_only_what_changed_is_cast(spark, panel_of, tmp_path, first):
+    second = str(tmp_path / "second")
     changed = with_rows({"b": {16: 50.0}, "a": {21: 1.0}})  # a fold further, and a late row
-    check(panel_of(changed, "p2"), CLASSICAL, H, second, first)
+    check(panel_of(changed, "p"), CLASSICAL, H, second, first)
     digests = spark.read.parquet(f"{second}/digests").filter("recast").collect()
     start = 2020 * 12 + 12  # month 0 of the cases
     assert {(r.segment, r.origin - start) for r in digests} == {
@@ -84,11 +95,8 @@ def test_only_what_changed_is_cast(spark, panel_of, tmp_path):
     ((*CLASSICAL, SeasonalMA(3, 2)), H), (CLASSICAL[:2], H), (CLASSICAL, 1), (CLASSICAL, 3),
     ((Naive(3, name="other"), SeasonalMA(1, 3)), H),
 ])
-def test_other_specs_or_steps(panel_of, tmp_path, specs, horizon):
-    first, second = str(tmp_path / "first"), str(tmp_path / "second")
-    panel = panel_of(BASE, "p")
-    check(panel, CLASSICAL, H, first, None)
-    check(panel, specs, horizon, second, first)
+def test_other_specs_or_steps(panel_of, tmp_path, first, specs, horizon):
+    check(panel_of(BASE, "p"), specs, horizon, str(tmp_path / "second"), first)
 
 
 def test_a_chain_of_runs(panel_of, tmp_path):

@@ -171,3 +171,16 @@ def test_panel_reads_the_rows_once(spark, tmp_path, sales):
     panel.collect()
     final = panel._jdf.queryExecution().executedPlan().toString().split("Initial Plan")
     assert "ReusedExchange" in "".join(final)
+
+
+@pytest.mark.parametrize("cuts", [1, 2, 7, 8, 9, 200])
+def test_codes_with_any_number_of_ranges(spark, cuts):
+    keys = [None, "", "a", "aa", "b", "ж", *(f"k{i:03d}" for i in range(0, 150, 3))]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", cuts)
+    try:
+        codes = dense_codes(spark.createDataFrame([(k,) for k in keys + keys], "key string"), "key", "code")
+        got = {r.key: r.code for r in codes.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == {k: i for i, k in enumerate(sorted(keys[1:]))}
