@@ -6,11 +6,13 @@ run of `span` words or more means that the last `span` words are a window of an
 are hit; an item shorter than `span` is a window as a whole. Each state knows the items whose
 window ends in it, so the items come with the match.
 
-Benchmarks are small beside the corpus but of no fixed size, so items are packed into blocks of
-at most `block_words` words (one longer item is a block of its own); each block's automaton is
-sent to the tasks and the documents stream past block after block. An automaton has at most two
-states per word, which bounds what is sent. Documents are read in one pass per block and
-nothing but per-document results is shuffled, and that only when there are several blocks.
+Benchmarks are small beside the corpus but of no fixed size. Spark cuts long items into pieces
+that overlap by `span` - 1 words, so that no window is lost, numbers blocks of pieces by running
+sums of their words and stores them. A block has fewer than `block_words` words and one piece
+more, and an automaton at most two states per word, which bounds what the driver and a task hold:
+one block at a time is read and sent. With several blocks the documents are stored under row
+numbers, each block has a pass over them that stores the matches of the documents it hits, and
+these are joined by row number at the end.
 
 Words: A-Z in lower case, then runs of ASCII letters and digits and of anything beyond ASCII.
 Nulls and texts without words have no words: such documents come out with zeros, such items
@@ -23,10 +25,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .arrow import set_aside, with_columns
+from ..params import cut_lineage, work_dir
+from .arrow import set_aside, to_columns, with_columns
+
+LANES = 256  # tasks that number the pieces of the items
 
 #: A-Z to lower case, other ASCII that is no letter or digit to a space, the rest as it is.
 FOLD = bytes(
@@ -143,29 +150,55 @@ class Automaton:
         return spans, found
 
 
-def item_blocks(items: DataFrame, block_words: int, id: str = "item_id", text: str = "text") -> Iterator[list]:
-    """(item, words) in blocks of at most `block_words` words, read from Spark bit by bit."""
-    block, size = [], 0
-    for row in items.select(F.col(id).cast("string").alias("id"), F.col(text).alias("text")).toLocalIterator():
-        words = words_of(row["text"])
-        if not words:
-            continue
-        if block and size + len(words) > block_words:
-            yield block
-            block, size = [], 0
-        block.append((row["id"] or "", words))
-        size += len(words)
-    yield block
-
-
-def matched(docs: DataFrame, items: list, span: int, text: str = "text") -> DataFrame:
-    """The documents with `words` (their number), `spans` and `items` for one block of items."""
-    sent = docs.sparkSession.sparkContext.broadcast(items)
+def item_pieces(
+    items: DataFrame, span: int, piece_words: int, id: str = "item_id", text: str = "text"
+) -> DataFrame:
+    """item, words (joined by one space) and n (their number) of every different piece of the
+    items. Items of over `piece_words` words are cut where pieces share `span` - 1 words."""
+
+    def one(batch: pa.RecordBatch) -> dict:
+        made = {"item": [], "words": [], "n": []}
+        for item, t in zip(*(batch.column(i).to_pylist() for i in range(2))):
+            words = words_of(t)
+            last = max(0, len(words) - span) if len(words) > piece_words else 0
+            for at in range(0, last + 1, piece_words - span + 1):
+                if piece := words[at : at + piece_words]:
+                    made["item"].append(item or "")
+                    made["words"].append(b" ".join(piece).decode())
+                    made["n"].append(len(piece))
+        return made
+
+    rows = items.select(F.col(id).cast("string").alias("id"), F.col(text).alias("text"))
+    return to_columns(rows, one, "item string, words string, n long").distinct()
+
+
+def item_blocks(
+    items: DataFrame, span: int, block_words: int, id: str = "item_id", text: str = "text"
+) -> DataFrame:
+    """block (from 0), item and words, stored by block. Pieces are spread over `LANES` by their
+    hash; the sums of the lanes and running sums within them number the words."""
+    pieces = cut_lineage(item_pieces(items, span, max(2 * span, block_words // 8), id, text), "pieces")
+    pieces = pieces.withColumn("lane", F.pmod(F.xxhash64("item", "words"), F.lit(LANES)))
+    lanes = pieces.groupBy("lane").agg(F.sum("n").alias("size")).select(
+        "lane", (F.sum("size").over(W.orderBy("lane")) - F.col("size")).alias("before")
+    )
+    here = F.sum("n").over(W.partitionBy("lane").orderBy("item", "words")) - F.col("n")
+    numbered = pieces.withColumn("here", here).join(F.broadcast(lanes), "lane").select(
+        F.floor((F.col("before") + F.col("here")) / block_words).cast("int").alias("block"), "item", "words"
+    )
+    path = work_dir(items.sparkSession, "item-blocks")
+    numbered.repartition("block").write.partitionBy("block").parquet(path)
+    return items.sparkSession.read.schema("item string, words string, block int").parquet(path)
+
+
+def matched(docs: DataFrame, items: Broadcast, span: int, text: str = "text") -> DataFrame:
+    """The documents with `words` (their number), `spans` and `items` for one block of items,
+    sent as (item, words joined by one space)."""
     ready: dict[int, Automaton] = {}
 
     def one(batch: pa.RecordBatch) -> dict:
         if not ready:
-            ready[0] = Automaton(sent.value, span)
+            ready[0] = Automaton([(item, words.encode().split(b" ")) for item, words in items.value], span)
         counts, spans, found = [], [], []
         for t in batch.column(batch.schema.get_field_index(text)):
             words = words_of(t.as_py())
@@ -197,18 +230,34 @@ def contaminated_spans(
     docs: DataFrame, benchmark: DataFrame, span: int = 10, block_words: int = 200_000, text: str = "text"
 ) -> DataFrame:
     """The documents with `words`, `spans` (word numbers, ends exclusive) and `items`."""
-    blocks = item_blocks(benchmark, block_words)
-    out = matched(docs, next(blocks), span, text)
-    for block in blocks:
-        again = out.withColumnsRenamed({"spans": "spans0", "items": "items0"})
-        out = (
-            matched(again, block, span, text)
-            .withColumn("spans", F.concat("spans0", "spans"))
-            .withColumn("spans", F.when(F.size("spans") > 0, _merged(F.sort_array("spans"))).otherwise(F.col("spans")))
-            .withColumn("items", F.array_sort(F.array_union("items0", "items")))
-            .drop("spans0", "items0")
-        )
-    return out
+    spark = docs.sparkSession
+    blocks = item_blocks(benchmark, span, block_words)
+    last = blocks.agg(F.max("block")).first()[0] or 0
+
+    def sent(block: int) -> Broadcast:
+        rows = blocks.filter(F.col("block") == block).select("item", "words").collect()
+        return spark.sparkContext.broadcast([tuple(r) for r in rows])
+
+    if not last:
+        return matched(docs, sent(0), span, text)
+    held, names = set_aside(docs)
+    held = cut_lineage(held.withColumn("row", F.monotonically_increasing_id()), "documents")
+    hits = work_dir(spark, "hits")
+    for block in range(last + 1):
+        items = sent(block)
+        found = matched(held.select("row", names[text]), items, span, names[text])
+        if block:
+            found = found.filter(F.size("spans") > 0)
+        found.drop(names[text]).write.mode("append").parquet(hits)
+        items.destroy()
+    found = spark.read.schema("row long, words long, spans array<struct<lo:long,hi:long>>, items array<string>").parquet(hits)
+    found = found.groupBy("row").agg(
+        F.max("words").alias("words"),
+        F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    ).withColumn("spans", F.when(F.size("spans") > 0, _merged(F.col("spans"))).otherwise(F.col("spans")))
+    kept = [c for c in docs.columns if c not in ("words", "spans", "items")]
+    return held.join(found, "row").select(*[F.col(names[c]).alias(c) for c in kept], "words", "spans", "items")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10) -> DataFrame:

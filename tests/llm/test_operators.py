@@ -214,6 +214,36 @@ def test_contamination(spark, docs, corpus):
     assert left.columns == docs.columns and left.count() < docs.count()
 
 
+def test_benchmark_blocks_are_bounded_and_lose_no_window(spark):
+    draw = random.Random(11)
+    long = [f"v{draw.randrange(400)}" for _ in range(700)]
+    items = [(i, " ".join(draw.choice(long) for _ in range(draw.choice([4, 15, 30])))) for i in range(40)]
+    items += [(90, " ".join(long)), (90, " ".join(long)), (None, " ".join(long[100:160])), (91, None), (92, " ")]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(5)
+    blocks = automaton.item_blocks(bench, span=10, block_words=80).collect()
+    sizes, windows = {}, set()
+    for r in blocks:
+        piece = r.words.split(" ")
+        sizes[r.block] = sizes.get(r.block, 0) + len(piece)
+        windows |= {(r.item, *piece[i : i + 10]) for i in range(max(1, len(piece) - 9))}
+        assert len(piece) <= 20
+    assert sorted(sizes) == list(range(len(sizes))) and len(sizes) > 10 and max(sizes.values()) < 100
+    want = set()
+    for i, t in items:
+        w = (t or "").split()
+        want |= {("" if i is None else str(i), *w[j : j + 10]) for j in range(max(1, len(w) - 9))} if w else set()
+    assert windows == want
+    texts = [(d, " ".join(draw.choice([long[k : k + 12], long[k : k + 9], ["other", "words"]])))
+             for d, k in enumerate(draw.randrange(690) for _ in range(60))]
+    texts += [(60, " ".join(long[40:400])), (60, " ".join(long[40:400])), (61, None), (62, "")]
+    docs = spark.createDataFrame([(*t, "x", 1) for t in texts], "doc_id long, text string, items string, row long")
+    found = automaton.contaminated_spans(docs, bench, block_words=80)
+    assert sorted(found.columns) == sorted(["doc_id", "text", "row", "words", "spans", "items"])
+    plain = sorted(brute.contamination(texts, items, 10), key=str)
+    got = [(r.doc_id, r.words, sum(s.hi - s.lo for s in r.spans), len(r["items"])) for r in found.collect()]
+    assert sorted(got, key=str) == sorted((p[:4] for p in plain), key=str)
+
+
 def test_automaton_on_small_alphabets():
     draw = random.Random(3)
     for _ in range(60):
