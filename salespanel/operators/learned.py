@@ -45,7 +45,7 @@ def segment_codes(panel: DataFrame) -> DataFrame:
     return dense_codes(panel, "segment", "segment_code")
 
 
-def _estimator(spec):
+def estimator(spec):
     common = {"featuresCol": "features", "labelCol": "y"}
     if isinstance(spec, Boosted):
         return GBTRegressor(
@@ -94,7 +94,7 @@ def with_attributes(rows: DataFrame, attributes: Attributes | None, sums: DataFr
 def fit_rows(rows: DataFrame, spec) -> PipelineModel:
     inputs = [c for c in rows.columns if c != "y"]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
-    return Pipeline(stages=[assembler, _estimator(spec)]).fit(rows)
+    return Pipeline(stages=[assembler, estimator(spec)]).fit(rows)
 
 
 def predict_rows(model: PipelineModel, features: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ from ..operators.evaluation import (
     top_models,
 )
 from ..operators.forecasting import backtest, forecast, split_specs
+from ..operators.halving import search_halving
 from ..operators.incremental import cast_ahead, cast_backtest, cast_origins
 from ..operators.learned import attribute_sums, learned_backtest, segment_codes
 from ..operators.learned import fit as fit_learned
@@ -221,14 +222,20 @@ def refresh_job(
 def tune_job(
     spark: SparkSession, panel_path: str, out: str, horizon: int, n_trials: int = 100,
     n_folds: int = 5, seed: int = 42, space: dict = SPACE, prune: bool = True,
-    holidays: DataFrame | None = None, parallelism: int = 1,
+    holidays: DataFrame | None = None, parallelism: int = 1, halving: bool = False,
 ):
-    """Search boosted-tree settings, refit the best on all data, store model and trials."""
+    """Search boosted-tree settings, refit the best on all data, store model and trials. With
+    ``halving`` most trials see a share of their trees only, and ``trials`` has a row per fit."""
     panel = _stored_panel(spark, panel_path, f"{out}/panel")
-    best, trials = search(
-        panel, horizon, space, n_trials, n_folds, seed, prune, holidays=holidays,
-        parallelism=parallelism,
-    )
+    if halving:
+        best, trials = search_halving(
+            panel, horizon, space, n_trials, n_folds, seed, holidays=holidays, parallelism=parallelism
+        )
+    else:
+        best, trials = search(
+            panel, horizon, space, n_trials, n_folds, seed, prune, holidays=holidays,
+            parallelism=parallelism,
+        )
     trials.write.mode("overwrite").parquet(f"{out}/trials")
     codes = _stored_codes(panel, f"{out}/model/segment_codes")
     save_model(fit_learned(panel, best, codes, holidays), f"{out}/model/learned/{best.name}")

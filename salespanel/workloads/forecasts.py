@@ -22,10 +22,11 @@ from ..operators.evaluation import (
     top_models,
 )
 from ..operators.forecasting import backtest, forecast
+from ..operators.halving import search_halving
 from ..operators.learned import learned_forecast
 from ..operators.recurrence import linear_forecast
 from ..operators.specs import BOOSTED, CLASSICAL, Linear, Naive, SeasonalMA
-from ..operators.tuning import refit, search
+from ..operators.tuning import SPACE, refit, search
 from ..params import cut_lineage
 from ..plans import select_ensemble
 from .registry import Registry
@@ -291,6 +292,15 @@ def settings_search(spark, sf_dir):
     return trials
 
 
+@query()
+def settings_search_halving(spark, sf_dir):
+    """27 trials on five folds; a trial has a ninth, a third or all of its trees."""
+    panel = cut_lineage(sales_panel(spark, sf_dir))
+    space = {**SPACE, "max_iter": ("int", 3, 9), "max_depth": ("int", 2, 4)}
+    _, fits = search_halving(panel, HORIZON, space, n_trials=27, n_rungs=3, parallelism=4)
+    return fits
+
+
 @query()
 def refitted_best_forecast(spark, sf_dir):
     panel = cut_lineage(sales_panel(spark, sf_dir))
