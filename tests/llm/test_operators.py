@@ -147,6 +147,23 @@ def test_strings(docs, corpus, monkeypatch):
     assert rows(suffix.removal(docs), *columns) == want
 
 
+def test_strings_store_each_piece_once(spark, docs, monkeypatch):
+    """A stored table costs its rows, and a file for every task that writes it."""
+    stored = []
+
+    def kept(df, name="step", store=suffix.cut_lineage):
+        stored.append(store(df, name))
+        return stored[-1]
+
+    monkeypatch.setattr(suffix, "cut_lineage", kept)
+    suffix.removal(docs)
+    pieces = [df for df in stored if {"piece", "copies"} <= set(df.columns)]
+    every = pieces[0]
+    for more in pieces[1:]:
+        every = every.unionByName(more)
+    assert 0 < every.count() == every.distinct().count()
+
+
 def test_suffix_arrays():
     draw = random.Random(1)
     for _ in range(400):
