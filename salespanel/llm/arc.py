@@ -15,7 +15,8 @@ bounds what a task holds when it reads one. Blocks are bytes in any encoding; th
 text files passes them on as they are, with the record separator as its line separator. A file
 is plain or gzip of any number of members, as legacy archives have one for each record. Payloads cross the network once, when each record
 learns from the table of digests what it is; equal payloads meet there as digests, summed
-before the shuffle, so a payload that a third of all records share is no hot spot.
+before the shuffle, so a payload that a third of all records share is no hot spot. What is known
+of the records without their blocks is stored, so that archives are read once for it.
 
 Nulls: a null html is an empty payload, a null url is `-`, a null page id is left out of the
 header and read back as null. Repeated pages are records of their own. An empty table makes
@@ -38,9 +39,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..params import work_dir
+from ..params import cut_lineage, work_dir
 
 CHUNK = 1 << 20
+#: Of gzip: pages take 4 % more bytes than at the usual level 6, and a third of its time.
+LEVEL = "FOUR"
 #: Bytes given to a decompressor at once; what it leaves of them is looked at again.
 FEED = 1 << 14
 # Field names of the two header line versions.
@@ -190,7 +193,7 @@ def _rows(runs) -> pa.RecordBatch:
 def _write(values: DataFrame, path: str, between: str, chunks: int) -> str:
     (
         values.select(F.col("value").cast("string")).write.option("lineSep", between).option("compression", "gzip")
-        .option("maxRecordsPerFile", chunks).text(path)
+        .option("zlib.compress.level", LEVEL).option("maxRecordsPerFile", chunks).text(path)
     )
     return path
 
@@ -297,7 +300,7 @@ def originals(records: DataFrame, smallest: int = 0) -> DataFrame:
 
 def convert(spark: SparkSession, arc: str, warc: str, smallest: int = 0, chunks: int = 32) -> str:
     """The ARC files under `arc` as WARC files under `warc`."""
-    slim = read_arc(spark, arc, blocks=False)
+    slim = cut_lineage(read_arc(spark, arc, blocks=False), "records")
     first = originals(slim, smallest)
     revisits = (
         slim.filter("kind = 'response'").join(first, ["payload_sha1", "payload_bytes"])
@@ -382,7 +385,7 @@ def archive_pages(pages: DataFrame, smallest: int = 0) -> DataFrame:
     spark = pages.sparkSession
     arc = write_arc(pages, work_dir(spark, "arc"))
     warc = convert(spark, arc, work_dir(spark, "warc"), smallest)
-    back = read_warc(spark, warc)
+    back = cut_lineage(read_warc(spark, warc), "back")
     responses = back.filter("to_id is null").select(
         F.col("record_id").alias("to_id"), F.col("page_id").alias("refers_to")
     )

@@ -288,6 +288,23 @@ def test_archives(spark):
     assert arc.archive_pages(frame.limit(0)).count() == 0
 
 
+def test_archives_are_read_once_and_packed_quickly(spark, tmp_path, monkeypatch):
+    """ARC records without their blocks, and WARC records, are stored, not read again for each use."""
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("binaryFile")
+    read = []
+    write = arc._write
+    monkeypatch.setattr(arc, "_write", lambda values, *more: read.append(scans(values)) or write(values, *more))
+    frame = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    assert (scans(arc.archive_pages(frame)), read) == (0, [0, 1])
+    draw = random.Random(2)
+    text = " ".join(f"word{draw.randrange(3000)}" for _ in range(40_000))
+    arc.write_arc(spark.createDataFrame([(1, "u", text)], "page_id long, url string, html string"), f"{tmp_path}/arc")
+    packed = max((f.read_bytes() for f in (tmp_path / "arc").glob("part-*")), key=len)
+    whole = arc.inflated(packed)
+    assert text.encode() in whole
+    assert len(gzip.compress(whole, 6)) < len(packed) < len(gzip.compress(whole, 1))
+
+
 def test_arc_versions():
     date = "20010203040506"
     data = "\n".join([
